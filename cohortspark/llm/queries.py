@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dups, substrings, token_counts, toxicity
+from . import decontamination, near_dups, substrings, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": substrings.op2_substring_dedup,
+    "op3_decontamination": decontamination.op3_decontamination,
     "op4_near_duplicates": near_dups.op4_near_duplicates,
     "op6_toxicity": toxicity.op6_toxicity,
     "op8_token_counts": token_counts.op8_token_counts,
