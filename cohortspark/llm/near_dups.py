@@ -2,8 +2,9 @@
 
 A document's set holds its distinct shingles of five words (A-Z in lower case). The 64-bit hashes fall into
 REGISTERS buckets of equal width; of the smallest in each the number of leading zeros and eight bits of mantissa are
-kept; an empty register borrows from another one by a fixed pseudorandom walk. BANDS bands of ROWS registers are
-hashed: two sets of Jaccard similarity 0.85 miss every band with probability (1 - 0.85**8)**40 = 3e-6.
+kept; an empty register borrows from another one by a fixed pseudorandom walk. Bands of a few registers are hashed:
+from similarity 0.85 on 40 bands of 8, which two such sets all miss with probability (1 - 0.85**8)**40 = 3e-6,
+below, from 0.8 on, 53 bands of 6: (1 - 0.8**6)**53 = 1e-7.
 
 Documents with equal sets (128-bit digest) are one class from the start. Classes that meet in a bucket are joined
 by an edge to the smallest of the bucket, and the components of these edges are the clusters in which links are
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from . import common, graphs
 
 SHINGLE = 5
-REGISTERS, ROWS, BANDS = 320, 8, 40
+REGISTERS = 320
 MANTISSA = 8
 #: Most documents of a block, and most shingles of a block or of a bin of small clusters.
 BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1_000_000
@@ -98,12 +99,17 @@ def _walk() -> np.ndarray:
 _WALK = _walk()
 
 
-def band_keys(regs: np.ndarray) -> np.ndarray:
+def band_rows(percent: int) -> int:
+    return 8 if percent >= 85 else 6
+
+
+def band_keys(regs: np.ndarray, rows: int) -> np.ndarray:
     """A 64-bit key of each band; the band's number is part of it."""
-    words = np.ascontiguousarray(regs).view(np.uint64).reshape(len(regs), BANDS, ROWS // 4)
-    key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(regs), BANDS)).copy()
-    for j in range(words.shape[2]):
-        key = common.mix2(key, words[:, :, j])
+    bands = REGISTERS // rows
+    cells = regs[:, : bands * rows].reshape(len(regs), bands, rows).astype(np.uint64)
+    key = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), (len(regs), bands)).copy()
+    for j in range(rows):
+        key = common.mix2(key, cells[:, :, j])
     return key
 
 
@@ -114,7 +120,9 @@ def collision(n: float, m: float) -> float:
     return float((of(max(n / REGISTERS, 1.0)) * of(max(m / REGISTERS, 1.0))).sum() / (1 << MANTISSA))
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, percent: int) -> DataFrame:
+    rows = band_rows(percent)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in common.slices(batches):
             u, off = shingle_sets(common.text_column(b))
@@ -123,8 +131,8 @@ def signatures(docs: DataFrame) -> DataFrame:
             for salt in (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03):
                 total = np.r_[np.uint64(0), np.cumsum(common.fmix(u * np.uint64(salt)), dtype=np.uint64)]
                 fps.append(common.signed(total[off[1:]] - total[off[:-1]]))
-            keys = band_keys(registers(u, off))[n > 0]
-            bands = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum((n > 0) * BANDS)].astype(np.int32)), pa.array(common.signed(keys).ravel()))
+            keys = band_keys(registers(u, off), rows)[n > 0]
+            bands = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum((n > 0) * keys.shape[1])].astype(np.int32)), pa.array(common.signed(keys).ravel()))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(fps[0]), pa.array(fps[1]), bands], names=["doc_id", "n_shingles", "fp1", "fp2", "bands"])
 
     return docs.select("doc_id", "text").mapInArrow(run, SIGNATURES)
@@ -185,11 +193,11 @@ def _verify(percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: links are 100 * intersection >= percent * union."""
     if percent < 80:
         raise ValueError("the bands are made for similarities from 0.8")
-    sigs = common.written(signatures(docs), "near-signatures")
+    sigs = common.written(signatures(docs, percent), "near-signatures")
     classes = common.written(sigs.where("n_shingles > 0 and doc_id is not null").groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n")), "near-classes")
     reps = classes.groupBy("rep").agg(F.max("n").alias("n"))
     keys = sigs.where("n_shingles > 0").join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", F.explode("bands").alias("key"))
@@ -219,7 +227,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(common.table(spark, sf_dir, "documents"))
+    return near_duplicates(common.table(spark, sf_dir, "documents"), percent=85)
 
 
 def pipeline_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

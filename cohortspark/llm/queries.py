@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, near_dups, substrings, token_counts, toxicity
+from . import decontamination, mixing, near_dups, packing, substrings, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": substrings.op2_substring_dedup,
     "op3_decontamination": decontamination.op3_decontamination,
     "op4_near_duplicates": near_dups.op4_near_duplicates,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_packing": packing.op7_packing,
     "op8_token_counts": token_counts.op8_token_counts,
+    "op10_mixing": mixing.op10_mixing,
 }
 
 ORACLES: dict[str, str] = {}
