@@ -164,4 +164,4 @@ def removals(docs: DataFrame) -> DataFrame:
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return removals(common.table(spark, sf_dir, "documents"))
+    return removals(common.table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
