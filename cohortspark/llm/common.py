@@ -43,6 +43,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """The side of a join that grows with the input: never broadcast, so that the plan is the same at every size."""
+    return df.hint("merge")
+
+
 def text_column(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
     col = batch.column(batch.schema.get_field_index(name))
     if pa.types.is_large_string(col.type):

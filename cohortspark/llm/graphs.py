@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import shuffled, written
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -19,9 +19,9 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     while mark[0]:
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(now.select("b", "a"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = written(both.join(low, "u").where("v > u").select(F.col("m").alias("a"), F.col("v").alias("b")).where("a <> b").distinct(), name)
+        large = written(both.join(shuffled(low), "u").where("v > u").select(F.col("m").alias("a"), F.col("v").alias("b")).where("a <> b").distinct(), name)
         low = large.groupBy("b").agg(F.min("a").alias("m"))
-        joined = large.join(low, "b")
+        joined = large.join(shuffled(low), "b")
         small = joined.select(F.col("m").alias("a"), "b").unionAll(joined.select(F.least("a", "m"), F.greatest("a", "m")))
         now = written(small.where("a <> b").distinct(), name)
         new = _mark(now)

@@ -200,10 +200,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     sigs = common.written(signatures(docs, percent), "near-signatures")
     classes = common.written(sigs.where("n_shingles > 0 and doc_id is not null").groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n")), "near-classes")
     reps = classes.groupBy("rep").agg(F.max("n").alias("n"))
-    keys = sigs.where("n_shingles > 0").join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", F.explode("bands").alias("key"))
+    keys = sigs.where("n_shingles > 0").join(common.shuffled(reps.select(F.col("rep").alias("doc_id"))), "doc_id", "left_semi").select("doc_id", F.explode("bands").alias("key"))
     keys = common.written(keys, "near-bands")
     hubs = keys.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub < last").select("key", "hub")
-    edges = keys.join(hubs, "key").where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
+    edges = keys.join(common.shuffled(hubs), "key").where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
     clusters = graphs.components(edges, "near-clusters")
     members = clusters.select(F.col("node").alias("rep"), F.col("root").alias("cluster")).unionAll(clusters.select(F.col("root"), F.col("root")).distinct())
     members = common.written(members.join(reps, "rep"), "near-members")
@@ -216,11 +216,11 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     unit = F.when(F.col("blocks") > 1, F.xxhash64("cluster", F.least("block", "other"), F.greatest("block", "other"))).otherwise(F.pmod(F.xxhash64("cluster"), F.lit(bins)))
     # a block's own links are looked for in its unit with itself
     work = work.select(F.col("rep").alias("doc_id"), "cluster", "block", unit.alias("unit"), F.col("blocks"))
-    texts = docs.select("doc_id", "text").join(work.select("doc_id", "cluster", "block", "unit"), "doc_id").where(F.col("text").isNotNull())
+    texts = docs.select("doc_id", "text").join(common.shuffled(work.select("doc_id", "cluster", "block", "unit")), "doc_id").where(F.col("text").isNotNull())
     links = common.written(texts.groupBy("unit").applyInArrow(_verify(percent), "a long, b long"), "near-links")
     roots = graphs.components(links, "near-components").select(F.col("node").alias("rep"), "root")
-    same = classes.join(roots, "rep", "left").select("fp1", "fp2", F.coalesce("root", "rep").alias("component"))
-    found = sigs.select("doc_id", "n_shingles", "fp1", "fp2").join(same, ["fp1", "fp2"], "left")
+    same = classes.join(common.shuffled(roots), "rep", "left").select("fp1", "fp2", F.coalesce("root", "rep").alias("component"))
+    found = sigs.select("doc_id", "n_shingles", "fp1", "fp2").join(common.shuffled(same), ["fp1", "fp2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
     return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
@@ -233,4 +233,4 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component, the one with the smallest doc_id, with all its columns."""
     gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    return docs.join(common.shuffled(gone), "doc_id", "left_anti")
