@@ -1,6 +1,6 @@
 """Licence scans by canonical digests of entire texts, with DataFrame functions only.
 
-Canonical form: lower case; lines that begin with a copyright notice and "all rights reserved" lines go; every run
+Canonical form: lower case; lines that are a copyright notice (with a year or sign) or begin with "all rights reserved" go; every run
 of anything but letters and digits becomes one space; equivalent spellings are made one. The SHA-256 of that form is
 joined with the digests of known licences. The known licences are counted first: up to BROADCAST_ROWS are sent to
 all tasks, beyond that Spark chooses the join.
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from . import common
 
 BROADCAST_ROWS = 100_000
-NOTICE = r"(?m)^[^a-z0-9\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+NOTICE = r"(?m)^[^a-z0-9\n]*(\(c\)|©|copyright[^\n]*([0-9]{4}|\(c\)|©)|all rights reserved)[^\n]*$"
 #: Equivalent spellings; fixed values, after the public matching guidelines for licence texts.
 SPELLINGS = (
     ("licence", "license"), ("licences", "licenses"), ("licenced", "licensed"), ("sublicence", "sublicense"), ("acknowledgement", "acknowledgment"), ("judgement", "judgment"), ("favour", "favor"),
