@@ -67,7 +67,7 @@ class Counter:
         raw = text.replace(SPACE, " ").encode()  # the encoder takes both for a space
         if not self.cut_is_safe:
             return len(self.sp.encode(text, num_threads=1)), 1
-        at, tokens, chunks, start, overlap = 0, 0, 0, 0, self.overlap
+        at, tokens, chunks, start, overlap = -1, 0, 0, 0, self.overlap  # a first piece of the added space alone ends at 0
         ends = None  # of the chunk from start; what lies before `at` is counted
         while True:
             stop = min(len(raw), start + self.chunk + overlap)
@@ -77,7 +77,7 @@ class Counter:
             if ends is None:
                 if stop == len(raw) and start == 0:
                     return len(self.sp.encode(text, num_threads=1)), chunks + 1
-                start, at, tokens, overlap = 0, 0, 0, max(2 * overlap, len(raw) // 8)
+                start, at, tokens, overlap = 0, -1, 0, max(2 * overlap, len(raw) // 8)
                 continue
             chunks += 1
             ends = ends + start
