@@ -89,4 +89,4 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a verified overlap with a benchmark item, with all their columns."""
     gone = contaminated(docs, common.table(spark, sf_dir, "benchmark")).select("doc_id")
-    return docs.join(common.written(gone, "contaminated"), "doc_id", "left_anti")
+    return docs.join(common.shuffled(common.written(gone, "contaminated")), "doc_id", "left_anti")

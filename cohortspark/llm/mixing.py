@@ -188,8 +188,8 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed:
     """
     places, recipe = placed(docs, weights, seed)
     taken = taken_blocks(docs.sparkSession, places, recipe).groupBy("doc_id", "start").agg(F.max("size").alias("size"), F.collect_list(F.struct("skip", "words", "times")).alias("parts"))
-    taken = taken.groupBy(F.col("doc_id").alias("mix_doc_id")).agg(F.min_by(F.struct("parts", "size"), "start").alias("mix"))
-    joined = docs.join(common.written(taken, "mix-taken"), F.col("doc_id").eqNullSafe(F.col("mix_doc_id"))).drop("mix_doc_id")
+    taken = taken.groupBy(F.col("doc_id").alias("_mixed_doc_id")).agg(F.min_by(F.struct("parts", "size"), "start").alias("_mixed"))
+    joined = docs.join(common.written(taken, "mix-taken"), F.col("doc_id").eqNullSafe(F.col("_mixed_doc_id"))).drop("_mixed_doc_id")
     names, schema = docs.columns, docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
