@@ -43,40 +43,49 @@ def minimise_interval(f: Callable[[float], float], a: float, b: float, tolerance
 
 
 def minimise_box(f: Callable[[np.ndarray], float], starts: np.ndarray, low: np.ndarray, high: np.ndarray, rounds: int = 400, tolerance: float = 1e-10) -> tuple[np.ndarray, float]:
-    """Best of several runs of a simplex search kept inside a box."""
-    best: tuple[np.ndarray, float] = (np.clip(starts[0], low, high), np.inf)
-    n = len(low)
-    for start in starts:
-        size = np.maximum(0.1 * np.abs(start), 0.02 * (high - low))
-        points = [np.clip(start, low, high)]
-        for i in range(n):
-            p = points[0].copy()
-            p[i] = p[i] + size[i] if p[i] + size[i] <= high[i] else p[i] - size[i]
-            points.append(np.clip(p, low, high))
-        values = [f(p) for p in points]
-        for _ in range(rounds):
-            order = np.argsort(values, kind="stable")
-            points, values = [points[i] for i in order], [values[i] for i in order]
-            if abs(values[-1] - values[0]) <= tolerance * (abs(values[0]) + tolerance) and np.max(np.abs(points[-1] - points[0])) <= 1e-9 * (1 + np.max(np.abs(points[0]))):
-                break
-            centre = np.mean(points[:-1], axis=0)
-            tried = {t: np.clip(centre + t * (points[-1] - centre), low, high) for t in (-1.0,)}
-            p, v = tried[-1.0], f(tried[-1.0])
-            if v < values[0]:
-                far = np.clip(centre - 2 * (points[-1] - centre), low, high)
-                fv = f(far)
-                p, v = (far, fv) if fv < v else (p, v)
-            elif v >= values[-2]:
-                near = np.clip(centre + 0.5 * ((p if v < values[-1] else points[-1]) - centre), low, high)
-                nv = f(near)
-                if nv < min(v, values[-1]):
-                    p, v = near, nv
-                else:
-                    points = [points[0], *(np.clip(points[0] + 0.5 * (x - points[0]), low, high) for x in points[1:])]
-                    values = [values[0], *(f(x) for x in points[1:])]
-                    continue
-            points[-1], values[-1] = p, v
-        i = int(np.argmin(values))
-        if values[i] < best[1]:
-            best = (points[i], values[i])
+    """Best of several runs of a simplex search kept inside a box.
+
+    A simplex can fall flat on a wall of the box, so the best point starts new ones until they gain nothing.
+    """
+    best = min((_simplex(f, s, low, high, rounds, tolerance) for s in starts), key=lambda b: b[1])
+    for _ in range(20):
+        new = _simplex(f, best[0], low, high, rounds, tolerance)
+        if not new[1] < best[1] - tolerance * (abs(best[1]) + tolerance):
+            break
+        best = new
     return best
+
+
+def _simplex(f: Callable[[np.ndarray], float], start: np.ndarray, low: np.ndarray, high: np.ndarray, rounds: int, tolerance: float) -> tuple[np.ndarray, float]:
+    """One run: reflect the worst point, stretch or shorten the step, or shrink all points to the best one."""
+    keep = lambda p: np.clip(p, low, high)
+    step = np.maximum(0.1 * np.abs(start), 0.02 * (high - low))
+    points = [keep(start)]
+    for i in range(len(low)):
+        p = points[0].copy()
+        p[i] += step[i] if p[i] + step[i] <= high[i] else -step[i]
+        points.append(keep(p))
+    values = [f(p) for p in points]
+    for _ in range(rounds):
+        order = np.argsort(values, kind="stable")
+        points, values = [points[i] for i in order], [values[i] for i in order]
+        near = np.max(np.abs(points[-1] - points[0])) <= 1e-9 * (1 + np.max(np.abs(points[0])))
+        if near and abs(values[-1] - values[0]) <= tolerance * (abs(values[0]) + tolerance):
+            break
+        centre, worst = np.mean(points[:-1], axis=0), points[-1]
+        p = keep(2 * centre - worst)
+        v = f(p)
+        if v < values[0]:
+            far = keep(3 * centre - 2 * worst)
+            fv = f(far)
+            p, v = (far, fv) if fv < v else (p, v)
+        elif v >= values[-2]:
+            p = keep((centre + (p if v < values[-1] else worst)) / 2)
+            v, least = f(p), min(v, values[-1])
+            if v >= least:
+                points = [points[0], *(keep((points[0] + x) / 2) for x in points[1:])]
+                values = [values[0], *(f(x) for x in points[1:])]
+                continue
+        points[-1], values[-1] = p, v
+    i = int(np.argmin(values))
+    return points[i], values[i]
