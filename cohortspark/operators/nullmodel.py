@@ -20,11 +20,14 @@ PENALTY = 1e4
 
 
 def eigen(kinship: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Eigenvalues, largest first, and vectors of a kinship matrix; a rank below full raises."""
+    """Eigenvalues, largest first, and vectors of a kinship matrix; a low rank raises.
+
+    One eigenvalue may be 0: dosages that are centred over these very samples add up to 0.
+    """
     values, vectors = np.linalg.eigh(kinship)
-    if values[0] <= 1e-10 * max(values[-1], 1e-300):
+    if (values <= 1e-10 * max(values[-1], 1e-300)).sum() > 1:
         raise ValueError("the kinship matrix is not of full rank")
-    return values[::-1], vectors[:, ::-1]
+    return np.maximum(values[::-1], 0.0), vectors[:, ::-1]
 
 
 def subset(gram: np.ndarray, n_variants: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -59,8 +59,10 @@ def read_vcf(spark: SparkSession, path: str, samples: list[str] | None = None) -
     all_ = names[len(MANDATORY) :]
     wanted = [i for i, s in enumerate(all_) if samples is None or s in set(samples)]
     part = F.split(F.col("value"), "\t")
-    rows = lines.where(~F.col("value").startswith("#") & (F.col("value") != "")).select(part.alias("f"))
-    rows = rows.withColumn("f", F.when(F.size("f") == len(names), F.col("f")).otherwise(F.raise_error(F.lit("a line has another number of columns than the header")).cast("array<string>")))
+    data = ~F.col("value").startswith("#") & (F.col("value") != "")
+    wrong = F.raise_error(F.lit("a line has another number of columns than the header")).cast("array<string>")
+    # the test for data lines is in the expression too: pushed-down filters may look at it before the one below
+    rows = lines.where(data).select(F.when(~data, F.lit(None)).when(F.size(part) == len(names), part).otherwise(wrong).alias("f"))
     at = F.array_position(F.split(F.col("f")[8], ":"), "DS").cast("int")
     values = F.slice("f", len(MANDATORY) + 1, len(all_)) if len(wanted) == len(all_) else F.transform(F.array(*(F.lit(i + len(MANDATORY)) for i in wanted)), lambda i: F.get("f", i))
     dosages = F.transform(values, lambda v: F.try_element_at(F.split(v, ":"), F.col("at")).cast("double"))
