@@ -23,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op2_substring_dedup": oracles.OP2_SQL,
+    "op3_decontamination": oracles.op3_sql(),
     "op4_near_duplicates": oracles.OP4_SQL,
     "op5_license_scan": licenses.OP5_SQL,
     "op9_exact_topk": exact_topk.OP9_SQL,

@@ -88,12 +88,13 @@ def matches(docs: DataFrame) -> DataFrame:
     """doc_id, digest, start, n, source: n windows from `start` that begin in a smaller document, `source` among them."""
     all_ = common.written(runs(docs), "lz-runs")
     blocks = all_.groupBy("anchor").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"), (F.min("body") == F.max("body")).alias("equal"))
-    blocks = blocks.where("source < last").select("anchor", "source", "equal")
-    hits = common.written(all_.join(blocks, "anchor").where("not equal or source < doc_id").select("doc_id", "digest", "start", "n", "anchor", "source", "equal"), "lz-hits")
+    # written before the join, so that both its sides are plain shuffles, of which Spark can split large keys
+    blocks = common.written(blocks.where("source < last").select("anchor", "source", "equal"), "lz-blocks")
+    hits = common.written(all_.join(common.shuffled(blocks), "anchor").where("not equal or source < doc_id").select("doc_id", "digest", "start", "n", "anchor", "source", "equal"), "lz-hits")
     mixed = hits.where("not equal").groupBy("doc_id", "digest").agg(F.collect_set(F.struct("start", "n", "anchor")).alias("runs"))
-    windows = common.written(_texts(docs).join(mixed, ["doc_id", "digest"]).select("doc_id", "digest", "text", "runs").mapInArrow(_windows, WINDOWS), "lz-windows")
+    windows = common.written(_texts(docs).join(common.shuffled(mixed), ["doc_id", "digest"]).select("doc_id", "digest", "text", "runs").mapInArrow(_windows, WINDOWS), "lz-windows")
     first = windows.groupBy("anchor", "body").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last")).where("source < last").drop("last")
-    single = windows.join(first, ["anchor", "body"]).where("source < doc_id").select("doc_id", "digest", "start", F.lit(1).alias("n"), "source")
+    single = windows.join(common.shuffled(common.written(first, "lz-first")), ["anchor", "body"]).where("source < doc_id").select("doc_id", "digest", "start", F.lit(1).alias("n"), "source")
     return hits.where("equal").select("doc_id", "digest", "start", "n", "source").unionAll(single)
 
 
@@ -112,7 +113,7 @@ def factors(start: np.ndarray, n: np.ndarray, source: np.ndarray) -> list[tuple[
 
 def _parsed(docs: DataFrame) -> DataFrame:
     found = matches(docs).groupBy("doc_id", "digest").agg(F.collect_set(F.struct("start", "n", "source")).alias("matches"))
-    return _texts(docs).join(common.written(found, "lz-matches"), ["doc_id", "digest"], "left").select("doc_id", "text", "matches")
+    return _texts(docs).join(common.shuffled(common.written(found, "lz-matches")), ["doc_id", "digest"], "left").select("doc_id", "text", "matches")
 
 
 def _each(b: pa.RecordBatch) -> Iterator[tuple[list[bytes], list[tuple[int, int, int]]]]:
