@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cohortspark.functions import genetics as G
 from cohortspark.functions import stats
 from cohortspark.functions import tags as T
-from cohortspark.operators import association, index, meta, stratify, variables
+from cohortspark.operators import association, index, ldsc, meta, stratify, variables
 
 from . import inputs as I
 
@@ -284,6 +284,18 @@ def marginal_effects(spark, d):
     return all_.select(F.coalesce("sample", -1 - F.col("position")).alias("sample"), "position", G.marginal_effect(F.col("z"), F.col("n"), F.col("ref"), F.lit("A")).alias("effect"))
 
 
+@query(f"""WITH {I.SCORES}, s AS (SELECT study, position % 20 AS block, d::DOUBLE AS ld, v::DOUBLE AS chi2 FROM scores),
+b AS (SELECT study, block, count(*)::DOUBLE AS w, sum(ld) AS x, sum(chi2) AS y, sum(ld * ld) AS xx, sum(ld * chi2) AS xy FROM s GROUP BY 1, 2),
+t AS (SELECT study, sum(w) AS w, sum(x) AS x, sum(y) AS y, sum(xx) AS xx, sum(xy) AS xy FROM b GROUP BY 1),
+j AS (SELECT b.study, (((t.w - b.w) * (t.xy - b.xy) - (t.x - b.x) * (t.y - b.y)) / ((t.w - b.w) * (t.xx - b.xx) - (t.x - b.x) * (t.x - b.x))) AS slope FROM b JOIN t ON t.study = b.study)
+SELECT t.study, any_value((t.w * t.xy - t.x * t.y) / (t.w * t.xx - t.x * t.x)) AS slope, round(sqrt((count(*) - 1) * var_pop(j.slope)), 8) AS slope_se, count(*) AS blocks
+FROM t JOIN j ON j.study = t.study GROUP BY t.study""")
+def ld_score_regression(spark, d):
+    s = I.scores(spark, d).select("study", (F.col("position") % 20).alias("block"), F.col("d").cast("double").alias("ld"), F.col("v").cast("double").alias("chi2"), F.lit(1.0).alias("weight"))
+    out = ldsc.regression(ldsc.block_sums(s, "study"), "study")
+    return out.select("study", "slope", F.round("slope_se", 8).alias("slope_se"), "blocks")
+
+
 # ---- variables ---------------------------------------------------------------------------------------------
 
 
