@@ -40,6 +40,7 @@ DECAY = 0.6
 SPAN = 6
 LONGEST = 24
 CODES = 64
+RIDGE = 0.05
 
 _WORDS = re.compile(r"[^\W\d_]+(?:[^\w\s]+[^\W\d_]+)*")
 _MARKS = re.compile(r"[^\w]+")
@@ -240,7 +241,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, landmarks: int
         varied = [v for w in pos for v in _varied(w)]
         z = np.vstack([_gram([*pos, *varied, *negatives], marks) @ root])
         y = np.r_[np.ones(len(pos) + len(varied)), -np.ones(len(negatives))]
-        cost = np.r_[[5.0 * np.sqrt(seen[w]) for w in pos], np.ones(len(varied)), np.full(len(negatives), 5.0)]
+        cost = np.r_[[5.0 * np.sqrt(seen[w]) for w in pos], np.full(len(varied), 4.0), np.full(len(negatives), 5.0)]
         w, offset = _svm(z, y, cost)
         weight = fold(root @ w, marks)
         top = _best_words(texts, weight, offset).collect()
@@ -298,8 +299,8 @@ def _logistic(value: np.ndarray, label: np.ndarray, cost: np.ndarray) -> np.ndar
     w = np.zeros(x.shape[1])
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (cost * (p - label)) + 0.5 * np.r_[w[:-1], 0]
-        h = (x * (cost * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + 0.5 * np.eye(len(w))
+        g = x.T @ (cost * (p - label)) + RIDGE * np.r_[w[:-1], 0]
+        h = (x * (cost * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + RIDGE * np.eye(len(w))
         new = w - np.linalg.solve(h, g)
         new[:-1] = np.maximum(new[:-1], 0.0)
         if np.allclose(new, w, atol=1e-6):
