@@ -239,9 +239,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, landmarks: int
     for last in (False, True):
         pos = list(seen)
         varied = [v for w in pos for v in _varied(w)]
-        z = np.vstack([_gram([*pos, *varied, *negatives], marks) @ root])
-        y = np.r_[np.ones(len(pos) + len(varied)), -np.ones(len(negatives))]
-        cost = np.r_[[5.0 * np.sqrt(seen[w]) for w in pos], np.full(len(varied), 4.0), np.full(len(negatives), 5.0)]
+        # the last example is a word that has nothing in common with any landmark
+        z = np.vstack([_gram([*pos, *varied, *negatives], marks) @ root, np.zeros((1, root.shape[1]))])
+        y = np.r_[np.ones(len(pos) + len(varied)), -np.ones(len(negatives) + 1)]
+        cost = np.r_[[5.0 * np.sqrt(seen[w]) for w in pos], np.full(len(varied), 4.0), np.full(len(negatives), 5.0), 100.0]
         w, offset = _svm(z, y, cost)
         weight = fold(root @ w, marks)
         top = _best_words(texts, weight, offset).collect()
