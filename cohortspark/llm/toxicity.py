@@ -129,7 +129,8 @@ def evaluate(ws: list[str], weight: np.ndarray) -> np.ndarray:
 
 
 TOP = 3
-LOWEST = -1.0
+LOWEST, HIGHEST = -1.0, 1.5
+OBFUSCATED = 20
 _CACHE_LIMIT = 400_000
 
 
@@ -144,7 +145,7 @@ class Values:
         if len(self.known) > _CACHE_LIMIT:
             self.known.clear()
         new = sorted(set().union(*bags).difference(self.known))
-        self.known.update(zip(new, np.clip(evaluate(new, self.weight) + self.offset, LOWEST, 1.5).tolist(), strict=True))
+        self.known.update(zip(new, np.clip(evaluate(new, self.weight) + self.offset, LOWEST, HIGHEST).tolist(), strict=True))
         out, best = np.full((len(texts), TOP), LOWEST), []
         for i, bag in enumerate(bags):
             v = heapq.nlargest(TOP, map(self.known.__getitem__, bag)) if bag else []
@@ -258,6 +259,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, landmarks: int
     label = np.array([r.label for r in top])
     counts = {r.label: r["count"] for r in labels.groupBy("label").count().collect()}
     weights = np.where(label == 1, counts[1] / n_pos, counts[0] / n_neg)
+    # texts with one insult that has a letter put in; together they weigh a fiftieth of the toxic ones
+    worn = [v for w in [r.word for r in best if r.neg == 0][:OBFUSCATED] for v in _varied(w)]
+    if worn:
+        hidden = np.full((len(worn), TOP), LOWEST)
+        hidden[:, 0] = np.clip(evaluate(worn, weight) + offset, LOWEST, HIGHEST)
+        value, label = np.vstack([value, hidden]), np.r_[label, np.ones(len(worn), int)]
+        weights = np.r_[weights, np.full(len(worn), 0.02 * counts[1] / len(worn))]
     return Model(weight, offset, _logistic(value, label, weights / weights.mean()))
 
 
