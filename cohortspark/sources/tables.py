@@ -57,17 +57,16 @@ def write_score_text(df: DataFrame, path: str, metadata: dict | None = None, com
     names = df.columns
     head = "\n".join([f"## {json.dumps(metadata or {})}", "# " + "\t".join(names)])
 
-    def lines(frames):
+    def with_head(frames):
         import pandas as pd
 
         first = True
         for f in frames:
-            body = f.agg("\t".join, axis=1) if len(f) else pd.Series([], dtype=str)
-            yield pd.DataFrame({"value": ([head] if first else []) + body.tolist()})
+            yield pd.DataFrame({"value": [head, *f["value"]]}) if first else f
             first = False
 
-    text = df.select(*(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("NA")).alias(c) for c in names))
-    text.mapInPandas(lines, "value string").write.option("compression", compression).text(path)
+    row = F.concat_ws("\t", *(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("NA")) for c in names))
+    df.select(row.alias("value")).mapInPandas(with_head, "value string").write.option("compression", compression).text(path)
 
 
 def read_scores(spark: SparkSession, paths: list[str], required: range = range(1, 23)) -> DataFrame:

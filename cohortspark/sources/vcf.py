@@ -44,8 +44,8 @@ def header(lines: DataFrame) -> list[str]:
 
 
 def info_value(info: Column, key: str) -> Column:
-    found = F.try_element_at(F.expr("str_to_map(_info, ';', '=')") if info is None else F.str_to_map(info, F.lit(";"), F.lit("=")), F.lit(key))
-    return G.not_nan(found.try_cast("double"))
+    """A number of the INFO field; NULL where it is absent or not a number."""
+    return G.not_nan(F.try_element_at(F.str_to_map(info, F.lit(";"), F.lit("=")), F.lit(key)).try_cast("double"))
 
 
 def read_vcf(spark: SparkSession, path: str, samples: list[str] | None = None) -> tuple[DataFrame, list[str]]:
