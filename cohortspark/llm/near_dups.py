@@ -11,7 +11,8 @@ by an edge to the smallest of the bucket, and the components of these edges are
 looked for, so that no bucket is expanded into pairs. A cluster is one unit of work, or, where it is large, all
 pairs of its blocks of bounded size. In a unit, the share of equal registers, corrected for chance collisions,
 rules pairs out that are several standard errors away; all others are confirmed on the full sets. Pairs that are
-connected already are passed over, so what leaves a unit is a forest. Components of the forests are the result.
+connected already are passed over, and what leaves a unit is a star for each component. Components of the stars are
+the result.
 
 Defined results: a null or wordless text has an empty set, is linked with nothing and is kept; equal texts are
 linked; rows that repeat a doc_id count as one document whose texts are all linked; a null doc_id stays by itself
@@ -139,12 +140,12 @@ def signatures(docs: DataFrame, percent: int) -> DataFrame:
 
 
 def forest(ids: np.ndarray, u: np.ndarray, off: np.ndarray, percent: int, other: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Links that connect all sets connected by links; with `other` (block numbers) only links between blocks count."""
+    """Pairs (smallest id, id) of each component of the links; with `other` (block numbers) only links between blocks count."""
     n, size = len(ids), np.diff(off)
     regs = registers(u, off)
     _, flat = np.unique(u, return_inverse=True)
     seen = np.zeros(int(flat.max(initial=-1)) + 1, bool)
-    root, out = np.arange(n), []
+    root = np.arange(n)
     for i in range(1, n):
         ok = (root[:i] != root[i]) & (100 * np.minimum(size[:i], size[i]) >= percent * np.maximum(size[:i], size[i])) & (size[:i] > 0)
         if other is not None:
@@ -167,12 +168,13 @@ def forest(ids: np.ndarray, u: np.ndarray, off: np.ndarray, percent: int, other:
             inter = np.add.reduceat(seen[flat[at]].astype(np.int64), starts)
             for j in part[100 * inter >= percent * (lens + size[i] - inter)]:
                 if root[j] != root[i]:
-                    out.append((int(ids[j]), int(ids[i])))
                     old, new = max(root[j], root[i]), min(root[j], root[i])
                     root[root == old] = new
             cand = cand[root[cand] != root[i]]
         seen[mine] = False
-    return out
+    least = np.full(n, np.iinfo(np.int64).max)
+    np.minimum.at(least, root, ids)
+    return [(a, b) for a, b in zip(least[root].tolist(), ids.tolist(), strict=True) if a != b]
 
 
 def _verify(percent: int):
