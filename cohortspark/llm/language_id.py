@@ -100,7 +100,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     langs = [r.lang for r in labelled.select("lang").distinct().orderBy("lang").limit(sample).collect()]
     if not langs:
         return None
-    each = max(1, sample // len(langs))
+    each = min(1000, max(1, sample // len(langs)))  # up to 1000 Spark cuts each task's ranks before the shuffle
     picked = labelled.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))).where(F.col("n") <= each)
     texts = docs.where("lang is not null").select("doc_id", "lang", "text").join(F.broadcast(picked.select("doc_id", "lang")), ["doc_id", "lang"])
 
