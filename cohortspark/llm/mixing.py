@@ -38,7 +38,7 @@ BLOCK = 128
 FEWEST = 128
 SHARDS = 256
 SEED = 20240
-CHUNK_ROWS = 20_000
+CHUNK_ROWS = 5_000
 ROUNDS = 4
 
 
