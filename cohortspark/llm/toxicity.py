@@ -243,7 +243,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, landmarks: int
         # the last example is a word that has nothing in common with any landmark
         z = np.vstack([_gram([*pos, *varied, *negatives], marks) @ root, np.zeros((1, root.shape[1]))])
         y = np.r_[np.ones(len(pos) + len(varied)), -np.ones(len(negatives) + 1)]
-        cost = np.r_[[5.0 * np.sqrt(seen[w]) for w in pos], np.full(len(varied), 4.0), np.full(len(negatives), 5.0), 100.0]
+        cost = np.r_[[5.0 * np.sqrt(seen[w]) for w in pos], np.ones(len(varied)), np.full(len(negatives), 5.0), 100.0]
         w, offset = _svm(z, y, cost)
         weight = fold(root @ w, marks)
         top = _best_words(texts, weight, offset).collect()
@@ -264,8 +264,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, landmarks: int
     if worn:
         hidden = np.full((len(worn), TOP), LOWEST)
         hidden[:, 0] = np.clip(evaluate(worn, weight) + offset, LOWEST, HIGHEST)
-        value, label = np.vstack([value, hidden]), np.r_[label, np.ones(len(worn), int)]
-        weights = np.r_[weights, np.full(len(worn), 0.02 * counts[1] / len(worn))]
+        # only where such values tell anything: if other texts reach them too, they would turn the fit
+        if (value[label == 0, 0] >= np.median(hidden[:, 0])).mean() < 0.01:
+            value, label = np.vstack([value, hidden]), np.r_[label, np.ones(len(worn), int)]
+            weights = np.r_[weights, np.full(len(worn), 0.02 * counts[1] / len(worn))]
     return Model(weight, offset, _logistic(value, label, weights / weights.mean()))
 
 
