@@ -2,15 +2,17 @@
 
 Tokens are the words of a text in lower case. A seed looks at the tokens of a window under a fixed mask and
 ignores the others, so a hit survives replaced words at the ignored places. The hashes of every window of the
-benchmark items are joined with those of every window of the documents. Hits of one alignment (document, item,
-shift) are then put together: a place of the item agrees if some hit there looked at it. An overlap is verified if,
-in a stretch of SPAN places (or in the whole of a shorter item), at least SHARE of them agree. Items shorter than
-the longest mask are also looked for by a mask of their own length without gaps; items under MIN_TOKENS words are
-too short to tell anything and are not looked for.
+benchmark items are joined with those of every window of the documents. For each alignment (document, item, shift)
+with a hit, the words of the item are then compared with the document's words at that shift, place by place. An
+overlap is verified if, in a stretch of SPAN places (or in the whole of a shorter item), at least SHARE of them are
+equal. Items under MIN_TOKENS words are too short to tell anything and are not looked for.
+
+SEEDS are lossless for that rule: wherever SHARE of SPAN places (or of a whole shorter item) are equal, in whatever
+pattern, a mask that is used for that length has a hit. Most lengths need two masks; the others are hashed only if
+the benchmark has items so short. A larger span or lower share than the defaults has no such guarantee.
 
 The benchmark's windows are counted first: up to BROADCAST_ROWS of them are sent to all tasks, beyond that the join
-is a shuffle whose large keys Spark can split. Hits are combined map-side; an alignment has at most as many as the
-item has windows.
+is a shuffle whose large keys Spark can split. Hits are combined map-side to alignments.
 
 Defined results: null or short texts are clean; null items and empty benchmarks contaminate nothing; rows that
 repeat a doc_id count as one document; a null doc_id is in no report and is kept by the filter; further columns
@@ -19,12 +21,17 @@ are ignored by the report and kept by the filter; empty tables give empty report
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
 
+#: The seeds of the SQL twin, which counts only places that one of them looked at.
 MASKS = ("1110110111", "1101100011011", "11100010001101")
+#: Masks and the lengths of stretches (SPAN, or all of a shorter item) that need them.
+SEEDS = {"111": range(5, 21), "1011": (5, *range(7, 21)), "1101": (5, 6, 8, 10), "11001": (5, 10), "10011": (5,), "10101": (5,), "100011": (6,)}
 MIN_TOKENS = 5
 SPAN, SHARE = 20, 0.6
 BROADCAST_ROWS = 1_000_000
@@ -51,28 +58,42 @@ def _seeds(df: DataFrame, masks: list[str], keep: list[str]) -> DataFrame:
     return df.select(*keep, "at", "s.seed", "s.mask")
 
 
-def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, m (words of the item), shift, hits: [item's place, mask] of all hits, and the masks' list."""
+def _items(benchmark: DataFrame) -> DataFrame:
+    """item_id, words and m (their number) of the items that are looked for."""
     items = benchmark.where("item_id is not null").select("item_id", tokens(F.col("text")).alias("words")).withColumn("m", F.size("words"))
-    items = items.where(F.col("m") >= MIN_TOKENS)
-    lengths = items.where(F.col("m") < max(map(len, MASKS))).select("m").distinct().collect()  # at most as many as the longest mask has places
-    masks = [*MASKS, *sorted("1" * r.m for r in lengths)]
+    return items.where(F.col("m") >= MIN_TOKENS)
+
+
+def alignments(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, bool]:
+    """doc_id, item_id, m (words of the item), shift of all alignments with a hit; and whether the items are few."""
+    length = F.least(F.col("m"), F.lit(SPAN))
+    lengths = {r.m for r in items.select(length.alias("m")).distinct().collect()}  # at most SPAN rows
+    masks = [x for x, of in SEEDS.items() if lengths & set(of)] or list(SEEDS)[:1]
     wanted = _seeds(items, masks, ["item_id", "m"]).withColumnRenamed("at", "item_at")
-    wanted = common.written(wanted.where((F.col("mask") < len(MASKS)) | (F.col("m") == F.element_at(F.array(*(F.lit(len(x)) for x in masks)), F.col("mask") + 1))), "seeds")
-    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted.hint("shuffle_merge")
+    used = [(F.col("mask") == k) & length.isin(*SEEDS[x]) for k, x in enumerate(masks)]
+    wanted = common.written(wanted.where(reduce(Column.__or__, used)), "seeds")
+    few = wanted.count() <= BROADCAST_ROWS
+    wanted = F.broadcast(wanted) if few else wanted.hint("shuffle_merge")
     found = _seeds(docs.where("doc_id is not null").select("doc_id", tokens(F.col("text")).alias("words")), masks, ["doc_id"])
-    hits = found.join(wanted, ["seed", "mask"]).select("doc_id", "item_id", "m", (F.col("at") - F.col("item_at")).alias("shift"), F.struct("item_at", "mask").alias("hit"))
-    places = F.array(*(F.array(*(F.lit(i) for i, c in enumerate(x) if c == "1")) for x in masks))
-    return hits.groupBy("doc_id", "item_id", "m", "shift").agg(F.collect_set("hit").alias("hits")).withColumn("places", places)
+    hits = found.join(wanted, ["seed", "mask"]).select("doc_id", "item_id", "m", (F.col("at") - F.col("item_at")).alias("shift"))
+    return hits.distinct(), few
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, share: float = SHARE) -> DataFrame:
-    """doc_id, item_id, matched: the most agreeing places in a verified stretch of each pair."""
-    found = alignments(docs, benchmark).withColumn("width", F.expr(f"least({span}, m)"))
-    agree = F.expr("array_sort(array_distinct(flatten(transform(hits, h -> transform(places[h.mask], p -> h.item_at + p)))))")
-    found = found.select("doc_id", "item_id", "m", "width", agree.alias("agree"))
-    best = F.expr("array_max(transform(agree, p -> size(filter(agree, q -> q >= least(p, m - width) and q < least(p, m - width) + width))))")
-    found = found.withColumn("matched", best).where(F.col("matched") >= F.ceil(F.col("width") * share))
+    """doc_id, item_id, matched: the most equal places in a verified stretch of each pair."""
+    items = _items(benchmark)
+    found, few = alignments(docs, items)
+    found = common.written(found.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "m", "shift")).alias("found")), "alignments")
+    here = docs.select("doc_id", "text").join(common.shuffled(found), "doc_id").select("doc_id", tokens(F.col("text")).alias("words"), "found")
+    here = here.select("doc_id", "words", F.explode("found").alias("a"))
+    # the document's words from the first place of the item that it has; slice, as it takes no copy of all words
+    here = here.selectExpr("doc_id", "a.item_id", "a.m", "greatest(-a.shift, 0) as lead", "slice(words, greatest(a.shift, 0) + 1, a.m - greatest(-a.shift, 0)) as here")
+    items = F.broadcast(items) if few else items.hint("shuffle_merge")
+    found = here.join(items, ["item_id", "m"]).withColumn("width", F.expr(f"least({span}, m)"))
+    agree = F.expr("filter(sequence(0, m - 1), i -> get(here, i - lead) = get(words, i))")
+    found = found.select("doc_id", "item_id", "m", "width", F.ceil(F.col("width") * share).alias("least"), agree.alias("agree"))
+    best = F.expr("if(size(agree) < `least`, 0, array_max(transform(agree, p -> size(filter(agree, q -> q >= least(p, m - width) and q < least(p, m - width) + width)))))")
+    found = found.withColumn("matched", best).where(F.col("matched") >= F.col("least"))
     return found.groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"))
 
 

@@ -167,6 +167,28 @@ def test_decontamination(spark, docs):
     assert decontamination.contaminated(found.where("false"), bench).count() == 0
 
 
+def test_decontamination_replaced_words(spark):
+    """Against the rule by brute force: items of all lengths with any places replaced, at any place of the text."""
+    rng = random.Random(11)
+    items = {m: [f"i{m}x{k}" for k in range(m)] for m in [*range(5, 31), 45]}
+    texts, want = [], set()
+    for m, item in items.items():
+        for keep in (0.4, 0.6, 0.6, 0.8):
+            text = [w if rng.random() < keep else "other" for w in item]
+            cut = rng.choice([0, 0, 1])  # some lack the first words
+            equal = [int(a == b and k >= cut) for k, (a, b) in enumerate(zip(item, text, strict=True))]
+            width = min(20, m)
+            if max(sum(equal[k : k + width]) for k in range(m - width + 1)) >= -(-width * 6 // 10):
+                want.add((len(texts), m))
+            texts.append(" ".join([f"n{k}" for k in range(rng.randrange(3) * (not cut))] + text[cut:] + ["end"] * rng.randrange(3)))
+    item = items[15]
+    want.add((len(texts), 15))
+    texts.append(" ".join("other" if k in (3, 7, 11) else w for k, w in enumerate(item, 1)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(m, " ".join(w)) for m, w in items.items()], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontamination.overlaps(docs, bench).collect()} == want
+
+
 def test_decontamination_by_shuffle(spark, monkeypatch):
     monkeypatch.setattr(decontamination, "BROADCAST_ROWS", 0)
     text = " ".join(WORDS[:30])
