@@ -659,6 +659,11 @@ for _m in ("fastlmm", "pml", "mpl", "reml", "ml"):
     query()(_null(_m))
 
 
+@query()
+def kinship_by_chromosome(spark, d):
+    return association.gram(I.dosages(spark, d))
+
+
 @query()
 def kinship_loco(spark, d):
     return association.leave_one_out(association.gram(I.dosages(spark, d)))

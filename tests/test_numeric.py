@@ -134,3 +134,20 @@ def test_resume(spark):
     all_ = hdl.jobs(names, pieces, "jackknife")
     assert all_.count() == 9
     assert hdl.jobs(names, pieces, "jackknife", all_.where(F.col("jackknife_index").isNull())).count() == 6
+
+
+def test_kinship_of_all_samples(spark):
+    """The registered matrices hold all samples of the dosages, against numpy."""
+    from cohortspark.plans import catalogue, inputs
+
+    d = "/root/testdata/sf0.001"
+    rows = inputs.dosages(spark, d).collect()
+    own = {}
+    for c in {r.chromosome for r in rows}:
+        z = association.standardise(np.array([r.dosages for r in rows if r.chromosome == c]))
+        own[c] = z.T @ z
+    want = {"kinship_by_chromosome": own, "kinship_loco": {c: sum(x for k, x in own.items() if k not in (c, 23)) for c in own if c != 23}}
+    for name, grams in want.items():
+        got = catalogue.QUERIES[name](spark, d).collect()
+        assert len(got) == sum(len(g) for g in grams.values())
+        assert all(np.allclose(r["values"], grams[r.chromosome][r.i], atol=1e-6) for r in got)
