@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text for which temporary arrays are made at once.
 SLICE_BYTES = 1 << 19
@@ -43,6 +44,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keyed(docs: DataFrame, ordered: bool = False) -> DataFrame:
+    """docs with a key of its own for each row, `_row`, as a written table; ordered: keys rise with doc_id, nulls last."""
+    if ordered:
+        docs = docs.sort(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
+    return written(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+
+
 def shuffled(df: DataFrame) -> DataFrame:
     """The side of a join that grows with the input: never broadcast, so that the plan is the same at every size."""
     return df.hint("merge")

@@ -15,8 +15,8 @@ The benchmark's windows are counted first: up to BROADCAST_ROWS of them are sent
 is a shuffle whose large keys Spark can split. Hits are combined map-side to alignments.
 
 Defined results: null or short texts are clean; null items and empty benchmarks contaminate nothing; rows that
-repeat a doc_id count as one document; a null doc_id is in no report and is kept by the filter; further columns
-are ignored by the report and kept by the filter; empty tables give empty reports.
+repeat a doc_id count as one document in the report, and a null doc_id is in none; the filter judges each row by
+itself, whatever its doc_id; further columns are ignored by the report and kept by the filter; empty tables give empty reports.
 """
 
 from __future__ import annotations
@@ -108,6 +108,7 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a verified overlap with a benchmark item, with all their columns."""
-    gone = contaminated(docs, common.table(spark, sf_dir, "benchmark")).select("doc_id")
-    return docs.join(common.shuffled(common.written(gone, "contaminated")), "doc_id", "left_anti")
+    """Rows without a verified overlap with a benchmark item, with all their columns; each row is judged by itself."""
+    docs = common.keyed(docs)
+    gone = contaminated(docs.select(F.col("_row").alias("doc_id"), "text"), common.table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_row"))
+    return docs.join(common.shuffled(common.written(gone, "contaminated")), "_row", "left_anti").drop("_row")

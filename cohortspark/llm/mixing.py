@@ -16,8 +16,8 @@ Bounds: the driver gathers one row for each source (name, size, blocks) and draw
 are the mix's recipe, not its data. Nothing else leaves the executors; a hot source is dealt out over chunks.
 
 Defined results: a null or wordless text has size 0 and is never taken; a null source is a source of its own and
-sorts last; a null doc_id is a document like any other; rows that repeat a doc_id are each placed and taken (the
-filter gives all of them what the first one gets); further columns are ignored by the report and kept by the
+sorts last; a null doc_id is a document like any other; rows that repeat a doc_id are each placed and taken, and
+the filter gives each what it gets; further columns are ignored by the report and kept by the
 filter; an empty table gives no rows.
 """
 
@@ -120,22 +120,26 @@ class Recipe:
 
 
 def placed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED) -> tuple[DataFrame, Recipe]:
-    """(doc_id, size, sid, source_size, target, length, start: words of the source before this row), and the recipe."""
-    sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
+    """(doc_id, size, sid, source_size, target, length, start: words of the source before this row), and the recipe.
+
+    A column `_row` is kept. Rows of one doc_id are placed by their texts, so that the places follow from the rows.
+    """
+    row = [c for c in docs.columns if c == "_row"]
+    sized = docs.select("doc_id", *row, F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("digest"))
     sized = common.written(sized, "mix-sizes")
     totals = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()  # one row a source
     recipe = Recipe([(r.source, r["size"]) for r in totals], weights, seed)
     chunks = max(1, -(-sum(r.n for r in totals) // CHUNK_ROWS))
     spark = docs.sparkSession
     sized = sized.join(F.broadcast(recipe.frame(spark).withColumnRenamed("source", "name")), F.col("source").eqNullSafe(F.col("name"))).drop("name", "source")
-    sized = sized.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)))
+    sized = sized.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(chunks)))
     sums = sized.groupBy("sid", "chunk").agg(F.sum("size").alias("words"))
     before = Window.partitionBy("sid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("sid", "chunk", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base"))
-    within = Window.partitionBy("sid", "chunk").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("sid", "chunk").orderBy("doc_id", "size", "digest").rowsBetween(Window.unboundedPreceding, -1)
     sized = sized.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
     out = sized.join(sums, ["sid", "chunk"]).withColumn("start", F.col("base") + F.col("inner"))
-    return common.written(out.select("doc_id", "size", "sid", "source_size", "target", "length", "start"), "mix-places"), recipe
+    return common.written(out.select("doc_id", *row, "size", "sid", "source_size", "target", "length", "start"), "mix-places"), recipe
 
 
 def slots(spark: SparkSession, recipe: Recipe, shards: int = SHARDS) -> DataFrame:
@@ -167,7 +171,8 @@ def taken_blocks(spark: SparkSession, places: DataFrame, recipe: Recipe) -> Data
     parts = places.where("size > 0").withColumn("idx", F.explode(F.sequence(first, last)))
     lo = F.greatest(F.col("start"), F.col("idx") * F.col("length"))
     hi = F.least(F.col("start") + F.col("size"), (F.col("idx") + 1) * F.col("length"))
-    parts = parts.select("sid", "idx", "start", "doc_id", "size", (lo - F.col("start")).cast("int").alias("skip"), (hi - lo).cast("int").alias("words"))
+    row = [c for c in places.columns if c == "_row"]
+    parts = parts.select("sid", "idx", "start", "doc_id", *row, "size", (lo - F.col("start")).cast("int").alias("skip"), (hi - lo).cast("int").alias("words"))
     times = slots(spark, recipe).groupBy("sid", "idx").agg(F.count("*").cast("int").alias("times"))
     return parts.join(times, ["sid", "idx"])
 
@@ -186,11 +191,11 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed:
     A pass that takes all of a document gives its text unchanged, one that takes some gives them joined by spaces
     (and n_chars, where there is such a column, as their number of characters).
     """
-    places, recipe = placed(docs, weights, seed)
-    taken = taken_blocks(docs.sparkSession, places, recipe).groupBy("doc_id", "start").agg(F.max("size").alias("size"), F.collect_list(F.struct("skip", "words", "times")).alias("parts"))
-    taken = taken.groupBy(F.col("doc_id").alias("_mixed_doc_id")).agg(F.min_by(F.struct("parts", "size"), "start").alias("_mixed"))
-    joined = docs.join(common.written(taken, "mix-taken"), F.col("doc_id").eqNullSafe(F.col("_mixed_doc_id"))).drop("_mixed_doc_id")
     names, schema = docs.columns, docs.schema
+    docs = common.keyed(docs)
+    places, recipe = placed(docs, weights, seed)
+    taken = taken_blocks(docs.sparkSession, places, recipe).groupBy("_row").agg(F.struct(F.collect_list(F.struct("skip", "words", "times")).alias("parts"), F.max("size").alias("size")).alias("_mixed"))
+    joined = docs.join(common.shuffled(common.written(taken, "mix-taken")), "_row").select(*names, "_mixed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in common.slices(batches):

@@ -233,6 +233,7 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id, with all its columns."""
-    gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(common.shuffled(gone), "doc_id", "left_anti")
+    """One row of each component, the one with the smallest doc_id (null last), with all its columns; each row counts by itself."""
+    docs = common.keyed(docs, ordered=True)
+    gone = near_duplicates(docs.select(F.col("_row").alias("doc_id"), "text")).where(~F.col("kept")).select(F.col("doc_id").alias("_row"))
+    return docs.join(common.shuffled(gone), "_row", "left_anti").drop("_row")

@@ -294,6 +294,29 @@ def test_mixed_documents(docs, rows):
     assert {i: n for i, n in taken.items() if n} == dict(words)
 
 
+def test_stages_by_row(spark, tmp_path):
+    """Rows with no doc_id, or the same one, are deduplicated, filtered and mixed each by itself."""
+    rng = random.Random(4)
+    texts = [" ".join(f"r{k}x{rng.randrange(10**6)}" for _ in range(10 + 130 * k)) for k in range(12)]
+    rows = [(None if k % 3 == 0 else 7 if k % 3 == 1 else k, t, "ab"[k % 2], len(t)) for k, t in enumerate(texts)]
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    docs = frame(rows)
+    mixed: dict[int, int] = defaultdict(int)
+    for r in mixing.mixed_documents(docs).collect():
+        words = r.text.split()
+        k = int(words[0][1:].partition("x")[0])
+        assert set(words) <= set(texts[k].split())
+        assert (r.doc_id, r.source) == (rows[k][0], rows[k][2])
+        mixed[k] += len(words)
+    report = sorted((r["size"], r.taken) for r in mixing.mix(docs).collect())
+    assert report == sorted((10 + 130 * k, mixed[k]) for k in range(12))
+    twice = frame(rows + rows[:4])
+    assert sorted(r.text for r in near_dups.pipeline_stage(spark, twice, "").collect()) == sorted(texts)
+    spark.createDataFrame([(1, texts[0]), (2, texts[4])], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = decontamination.pipeline_stage(spark, twice, str(tmp_path)).collect()
+    assert {r.text for r in kept} == {*texts} - {texts[0], texts[4]}
+
+
 def test_permutation():
     for n in (1, 2, 3, 5, 16, 17, 1000):
         got = mixing.permuted(np.arange(n), n, 99)
