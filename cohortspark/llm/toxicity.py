@@ -1,12 +1,13 @@
 """Toxicity by a subsequence-kernel support vector machine with Nystroem landmarks.
 
-A text is a bag of sentences and a sentence a bag of words (lower case, letters only: marks inside a word go, and
-runs of single letters are read as one word, so that "i-d.i o t" is a word again). Two words are compared by the
+A text is a bag of words (lower case, letters only: marks, digits and underscores inside a word go, and runs of
+single letters are read as one word, so that "i-d.i o t" is a word again). Runs of more than LONGEST letters, as in
+texts without spaces, have the highest value of the windows that cover them. Two words are compared by the
 normalised gap-weighted kernel of their common subsequences of three characters, anchored at both ends: a
 subsequence counts DECAY for each character it spans, so an inserted or missing character costs a little and not
 everything. The landmarks are words of labelled texts: those that tell toxic texts best, and common and
 confusable words of the others. In their Nystroem space a linear machine with squared hinge loss is trained on
-words; a sentence has the value of its highest words and a text that of its highest sentences. The words that gave
+words; a text has the values of its highest words. The words that gave
 toxic texts their value and tell the classes apart are added as positive examples after each round, those that
 gave other texts theirs as negative ones; variants with an inserted letter are added besides. As kernel, landmarks and machine
 are linear in the subsequences of a word, they fold into one weight per subsequence, so that scoring needs no
@@ -39,10 +40,13 @@ LANDMARKS = 160
 DECAY = 0.6
 SPAN = 6
 LONGEST = 24
+#: Letters and step of the windows over a run of more than LONGEST letters.
+WINDOWS = ((LONGEST, LONGEST // 2), (6, 1))
 CODES = 64
 RIDGE = 0.05
 
 _WORDS = re.compile(r"[^\W\d_]+(?:[^\w\s]+[^\W\d_]+)*")
+_INSERTED = re.compile(r"[^\W\d_]+(?:[\d_]+[^\W\d_]+)+")
 _MARKS = re.compile(r"[^\w]+")
 _SPACED = re.compile(r"(?<!\w)[^\W\d_](?:[ \t*._-]{1,3}[^\W\d_]){2,}(?!\w)")
 _TRIPLES = [(j, k) for j in range(1, SPAN) for k in range(j + 1, SPAN)]
@@ -57,6 +61,8 @@ def words(text: str) -> set[str]:
         for w in found:
             if not w.isalpha():
                 out.update(p for p in _MARKS.split(w) if len(p) > 2)
+    for m in set(_INSERTED.findall(low)):
+        out.add(re.sub(r"[\d_]+", "", m))
     for m in _SPACED.findall(low):
         out.add(re.sub(r"[^\w]+", "", m))
     return out
@@ -73,7 +79,7 @@ _CODE = _table()
 
 
 def codes(ws: list[str]) -> np.ndarray:
-    """Words as rows of character codes, padded; of a word over LONGEST letters, both ends."""
+    """Words as rows of character codes, padded; of an example over LONGEST letters, both ends (evaluate() cuts longer ones to windows)."""
     ws = [w if len(w) <= LONGEST else w[: LONGEST // 2] + w[-(LONGEST // 2) :] for w in ws]
     n = np.fromiter(map(len, ws), np.int64, len(ws))
     letters = _CODE[np.frombuffer("".join(ws).encode("utf-32-le", "surrogatepass"), np.uint32) & 0xFFFF]
@@ -114,8 +120,19 @@ def features(ws: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
+def windows(w: str) -> list[str]:
+    """The word, or of one over LONGEST letters overlapping windows that cover all of it."""
+    if len(w) <= LONGEST:
+        return [w]
+    return [w[min(at, len(w) - n) :][:n] for n, step in WINDOWS for at in range(0, len(w) - n + step, step)]
+
+
 def evaluate(ws: list[str], weight: np.ndarray) -> np.ndarray:
-    """The machine's value of each word, without its offset; weight[0] is 0."""
+    """The machine's value of each word, without its offset, the highest of its windows; weight[0] is 0."""
+    if any(len(w) > LONGEST for w in ws):
+        parts = [windows(w) for w in ws]
+        n = np.fromiter(map(len, parts), np.int64, len(ws))
+        return np.maximum.reduceat(evaluate([x for p in parts for x in p], weight), np.cumsum(n) - n)
     out = np.zeros(len(ws))
     order = np.argsort(np.fromiter(map(len, ws), np.int64, len(ws)), kind="stable")
     for at in range(0, len(ws), 2048):

@@ -381,6 +381,25 @@ def test_toxicity(spark):
     assert {r.score for r in toxicity.score(docs, None).collect()} == {0.0}
 
 
+def test_toxicity_of_whole_runs():
+    """What lies inside a long run of letters counts, and letters across digits and underscores are a word."""
+    weight = np.zeros(toxicity.CODES**3)
+    _, key, val = toxicity.features(["idiot"])
+    np.add.at(weight, key, val)
+    run = "thereisnosuchthingasanidiotlikeyouaremyfriend"
+    one, clean = toxicity.evaluate([run, run.replace("idiot", "")], weight)
+    assert one > 0.6 > 2 * clean
+    assert toxicity.evaluate(["idiot"], weight)[0] > 0.9
+    for n in (25, 29, 30, 36, 37, 100):
+        w = "".join(chr(97 + k % 26) for k in range(n))
+        for size, _ in toxicity.WINDOWS:
+            own = [x for x in toxicity.windows(w) if len(x) == size]
+            assert w.startswith(own[0])
+            assert w.endswith(own[-1])
+    assert {"idiot", "idi", "ot"} <= toxicity.words("You idi_ot")
+    assert "idiot" in toxicity.words("an id1iot")
+
+
 def test_empty_tables(empty):
     assert substrings.removals(empty).count() == 0
     assert near_dups.near_duplicates(empty).count() == 0
