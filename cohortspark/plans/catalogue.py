@@ -629,7 +629,7 @@ def log_scrape(spark, d):
 
 
 def _cohort(spark, d):
-    """64 samples: kinship from the dosages, two covariates, phenotypes from further dosages."""
+    """64 samples: kinship from the dosages, two covariates, every variant's dosages as a phenotype."""
     import numpy as np
 
     from cohortspark.operators import nullmodel
@@ -640,7 +640,7 @@ def _cohort(spark, d):
     n = g.groupBy("chromosome", "n_variants").count().agg(F.sum("n_variants")).head()[0]
     lam, q = nullmodel.eigen(association.collect_matrix(total) / n + 1e-3 * np.eye(64))
     x = np.column_stack([np.ones(64), np.linspace(-1, 1, 64), np.sin(np.arange(64))])
-    y = I.dosages(spark, d).where("vec_id % 50 = 0").select(F.lit("all").alias("collection"), F.col("vec_id").cast("string").alias("phenotype"), F.col("dosages").alias("y"))
+    y = I.dosages(spark, d).select(F.lit("all").alias("collection"), F.col("vec_id").cast("string").alias("phenotype"), F.col("dosages").alias("y"))
     return y, lam, q, x
 
 
@@ -688,15 +688,16 @@ def score_test_mixed(spark, d):
 
 
 def _hdl(spark, d, step: str) -> DataFrame:
+    """Pairs of all labels: the phenotypes are the labels' mean vectors over every row, in all components."""
     import numpy as np
 
     from cohortspark.operators import hdl
 
     rng = np.random.Generator(np.random.PCG64(3))
-    rows = [(p, rng.uniform(0.2, 3.0, 40).tolist(), np.linalg.qr(rng.normal(size=(40, 40)))[0].tolist()) for p in range(3)]
+    rows = [(p, rng.uniform(0.2, 3.0, 64).tolist(), np.linalg.qr(rng.normal(size=(64, 64)))[0].tolist()) for p in range(3)]
     pieces = spark.createDataFrame(rows, "piece int, lam array<double>, vectors array<array<double>>")
-    e = I.table(spark, d, "embeddings").where("vec_id < 4")
-    b = e.select(F.concat(F.lit("t"), F.col("vec_id").cast("string")).alias("phenotype"), F.posexplode(F.slice("embedding", 1, 40)).alias("ord", "z"))
+    e = I.table(spark, d, "embeddings").select("label", F.posexplode("embedding").alias("ord", "z"))
+    b = e.groupBy(F.concat(F.lit("t"), F.col("label").cast("string")).alias("phenotype"), "ord").agg(F.avg(F.col("z").cast("double")).alias("z"))
     effects = pieces.select("piece").crossJoin(b).select("piece", "ord", F.lit("").alias("snp"), "phenotype", (F.col("z").cast("double") / 10).alias("effect"))
     counts = b.groupBy("phenotype").agg(F.lit(900.0).alias("n_min"), F.lit(1000.0).alias("n_median"))
     todo = hdl.jobs(b.select("phenotype").distinct(), pieces, step)

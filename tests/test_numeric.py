@@ -151,3 +151,15 @@ def test_kinship_of_all_samples(spark):
         got = catalogue.QUERIES[name](spark, d).collect()
         assert len(got) == sum(len(g) for g in grams.values())
         assert all(np.allclose(r["values"], grams[r.chromosome][r.i], atol=1e-6) for r in got)
+
+
+def test_models_of_all_rows(spark):
+    """Every vector is a phenotype of the null models, and all pairs of labels and pieces are estimated."""
+    from cohortspark.plans import catalogue, inputs
+
+    d = "/root/testdata/sf0.001"
+    e = inputs.table(spark, d, "embeddings")
+    y = catalogue._cohort(spark, d)[0]
+    assert y.select("phenotype").distinct().count() == e.select("vec_id").distinct().count()
+    n = e.select("label").distinct().count()
+    assert catalogue.QUERIES["hdl_piecewise"](spark, d).count() == 3 * n * (n + 1) // 2
