@@ -386,6 +386,10 @@ def test_toxicity_of_whole_runs():
     weight = np.zeros(toxicity.CODES**3)
     _, key, val = toxicity.features(["idiot"])
     np.add.at(weight, key, val)
+    # the same without the exact norms where it tells nothing
+    some = ["idixot", "riot", "banana", "idiot"]
+    low = toxicity.evaluate(some, weight, -1.0, -0.5)
+    assert np.allclose(low, np.maximum(toxicity.evaluate(some, weight, -1.0), -0.5))
     run = "thereisnosuchthingasanidiotlikeyouaremyfriend"
     one, clean = toxicity.evaluate([run, run.replace("idiot", "")], weight)
     assert one > 0.6 > 2 * clean
@@ -396,10 +400,73 @@ def test_toxicity_of_whole_runs():
             own = [x for x in toxicity.windows(w) if len(x) == size]
             assert w.startswith(own[0])
             assert w.endswith(own[-1])
-    assert {"idiot", "idi", "ot"} <= toxicity.words("You idi_ot")
+    assert {"idiot", "idi", "ot"} <= toxicity.words("You idi_ot").keys()
     assert "idiot" in toxicity.words("an id1iot")
 
 
+def brute_kernel(a, b):
+    """Sum over equal triples of places within SPAN, by DECAY for each place in between; by both norms."""
+
+    def triples(w):
+        w = "^" + w + "$" if not w.endswith(toxicity.OPEN) else "^" + w[:-1]
+        for i in range(len(w)):
+            for j in range(i + 1, len(w)):
+                for k in range(j + 1, min(len(w), i + toxicity.SPAN)):
+                    yield w[i] + w[j] + w[k], toxicity.DECAY ** (k - i - 2)
+
+    def dot(x, y):
+        return sum(u * v for s, u in triples(x) for t, v in triples(y) if s == t)
+
+    return dot(a, b) / (dot(a, a) * dot(b, b)) ** 0.5
+
+
+def test_kernel():
+    """The folded weights give what the kernel with all landmarks gives, summed by their coefficients."""
+    marks, coef = ["idiot", "moron", "banana", "aaaa", "éclair", "achlich" + toxicity.OPEN], [1.5, -0.5, 0.25, 1.0, 2.0, 1.0]
+    row, key, val = toxicity.features(marks)
+    weight = np.bincount(key, val * np.array(coef)[row], toxicity.CODES**3)
+    ws = ["idiot", "idixot", "xidiot", "mor", "a", "bananas", "aaaaaa", "éclairs", "eclair", "achlichkeit"]
+    want = [[brute_kernel(w, m) for m in marks] for w in ws]
+    assert np.allclose(toxicity.gram(ws, marks), want, atol=1e-6)
+    assert np.allclose(toxicity.evaluate(ws, weight), np.array(want) @ coef, atol=1e-6)
+
+
+def test_variants():
+    got = toxicity.variants("idiot")
+    assert {"iidiot", "idiiot", "idot", "idit"} <= set(got)
+    assert all(len(v) in (4, 6, 7) and v[0] == "i" and v[-1] == "t" for v in got)
+    assert toxicity.variants("abc") == []
+    assert all(v.endswith(toxicity.OPEN) for v in toxicity.variants("stupid" + toxicity.OPEN))
+
+
+def test_words_of_texts():
+    assert toxicity.words("trash of the trash, TRASH!")["trash"] == 3
+    assert "idiot" not in toxicity.words("an idi ot")
+    assert toxicity.words("an idi ot", toxicity.ends(["idiot"]))["idiot"] == 1
+    assert "stupid" in toxicity.words("so s-t.u p*i d")
+
+
+def test_toxicity_odd_labels(spark):
+    """Contradicting labels count for nothing, repeated rows are scored each, further columns stay out of the way."""
+    rng = random.Random(6)
+    clean = ["thea", "oner", "handat", "ingre", "tion", "wherer", "onthe"]
+    rows_ = [(i, " ".join(rng.choices(clean, k=20) + ["idiot", "moron"] * (i % 3 == 0)), 0.5, 7, 1) for i in range(90)]
+    rows_ += [(0, rows_[0][1], 0.5, 7, 1)] * 3 + [(None, "moron idiot", 0.5, 7, 1), (91, "moron " * 30000, 0.5, 7, 1), (92, None, 0.5, 7, 1)]
+    docs = spark.createDataFrame(rows_, "doc_id long, text string, score double, predicted int, label int")
+    labels = [(i, int(i % 3 == 0)) for i in range(90)] + [(i, int(i % 3 != 0)) for i in range(0, 90, 9)] + [(1, 0), (None, 1), (500, 1)]
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, label int"))
+    got = toxicity.score(docs, model).collect()
+    assert len(got) == len(rows_)
+    assert all(r.predicted == int(r.doc_id is None or r.doc_id == 91 or (r.doc_id < 90 and r.doc_id % 3 == 0)) for r in got)
+    kept = toxicity.keep_clean(docs, model)
+    assert kept.columns == docs.columns
+    assert kept.count() == 61
+    assert toxicity.score(docs.where("false"), model).count() == 0
+    assert toxicity.keep_clean(docs.where("false"), model).count() == 0
+    same = spark.createDataFrame([(i, "thea oner") for i in range(30)], "doc_id long, text string")
+    assert toxicity.fit(same, spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, label int")) is None
+
+
 def test_empty_tables(empty):
     assert substrings.removals(empty).count() == 0
     assert near_dups.near_duplicates(empty).count() == 0
