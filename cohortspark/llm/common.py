@@ -6,8 +6,6 @@ and n-grams cost a few vector passes and no Python call per word.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +14,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortspark.lineage import discard, partitions, ranked, shared_dir, written
+
+__all__ = ["discard", "partitions", "ranked", "shared_dir", "written"]
+
 #: Bytes of text for which temporary arrays are made at once.
 SLICE_BYTES = 1 << 19
 
@@ -24,26 +26,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or in local mode one of our own."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    found = "file://" + tempfile.mkdtemp(prefix="cohortspark-")
-    spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared folder: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def keyed(docs: DataFrame, ordered: bool = False) -> DataFrame:
     """docs with a key of its own for each row, `_row`, as a written table; ordered: keys rise with doc_id, nulls last."""
     if ordered:
