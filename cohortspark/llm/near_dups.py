@@ -209,10 +209,11 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     clusters = graphs.components(edges, "near-clusters")
     members = clusters.select(F.col("node").alias("rep"), F.col("root").alias("cluster")).unionAll(clusters.select(F.col("root"), F.col("root")).distinct())
     members = common.written(members.join(reps, "rep"), "near-members")
-    sizes = members.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    # written before the join, so that both its sides are plain shuffles, of which Spark can split a large cluster
+    sizes = common.written(members.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")), "near-sizes")
     total = members.agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
     bins = max(1, -(-total // (BLOCK_SHINGLES // 2)))
-    work = members.join(sizes, "cluster")
+    work = members.join(common.shuffled(sizes), "cluster")
     block = F.pmod(F.xxhash64("rep"), "blocks").cast("int")
     work = work.withColumn("block", block).withColumn("other", F.explode(F.when(F.col("blocks") > 1, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.lit(0)))))
     unit = F.when(F.col("blocks") > 1, F.xxhash64("cluster", F.least("block", "other"), F.greatest("block", "other"))).otherwise(F.pmod(F.xxhash64("cluster"), F.lit(bins)))
