@@ -7,8 +7,9 @@ is loss-weighted: a language's distance is the squared hinge loss of the bits ag
 by how often its classifier was right on that language's training texts. The nearest codeword wins; where the next one
 is almost as near the answer is flagged as ambiguous.
 
-Bounded sample: at most SAMPLE labelled rows in all, the same number of each language, those with the smallest
-xxhash64(doc_id); each gives its whole text and one short stretch of it as examples. Predictions use every text whole
+Bounded sample: at most SAMPLE labelled rows in all (one of each language if there are more languages than that), the
+same number of each language and at most EACH, those with the smallest xxhash64(doc_id); each gives its whole text and
+one short stretch of it as examples, copies of a row only once. Predictions use every text whole
 and nothing but the text.
 
 Defined results: a null text or one without a letter gives `und`, score 0, ambiguous; without any labelled text
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
-SAMPLE = 1200
+SAMPLE, EACH = 1200, 1000
 BUCKETS = 4096
 ORDERS = (1, 2, 3)
 RIDGE = 0.3
@@ -96,13 +97,15 @@ def _stretch(raw: bytes, seed: int) -> bytes:
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     """Learns from docs (doc_id, text, lang); None without a labelled text."""
-    labelled = docs.where("lang is not null and text is not null").select("doc_id", "lang", F.xxhash64("doc_id").alias("order"))
-    langs = [r.lang for r in labelled.select("lang").distinct().orderBy("lang").limit(sample).collect()]
+    labelled = docs.where("lang is not null and text is not null").select("doc_id", "lang", "text", F.xxhash64("doc_id").alias("order"), F.xxhash64("text").alias("digest"))
+    rows = labelled.select("doc_id", "lang", "order", "digest").distinct()
+    langs = [r.lang for r in rows.select("lang").distinct().orderBy("lang").collect()]
     if not langs:
         return None
-    each = min(1000, max(1, sample // len(langs)))  # up to 1000 Spark cuts each task's ranks before the shuffle
-    picked = labelled.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))).where(F.col("n") <= each)
-    texts = docs.where("lang is not null").select("doc_id", "lang", "text").join(F.broadcast(picked.select("doc_id", "lang")), ["doc_id", "lang"])
+    each = min(EACH, max(1, sample // len(langs)))  # up to 1000 Spark cuts each task's ranks before the shuffle
+    picked = rows.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id", "digest"))).where(F.col("n") <= each).drop("n")
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"p.{c}")) for c in ("order", "lang", "digest", "doc_id")]
+    texts = labelled.alias("l").join(F.broadcast(picked.alias("p")), same, "left_semi").groupBy("doc_id", "lang", "digest").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in common.slices(batches, 1 << 19):
@@ -112,7 +115,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
             lang = b.column(1).take(pa.array(np.repeat(np.arange(len(raw)), 2)))
             yield pa.RecordBatch.from_arrays([lang, pa.array([r.tobytes() for r in x], pa.binary())], names=["lang", "x"])
 
-    got = texts.select("doc_id", "lang", "text").mapInArrow(run, "lang string, x binary").collect()
+    got = texts.select("doc_id", "lang", "text").mapInArrow(run, "lang string, x binary").collect()  # two vectors a picked row
     x = np.frombuffer(b"".join(bytes(r.x) for r in got), np.float32).reshape(len(got), BUCKETS)
     y = np.array([langs.index(r.lang) for r in got])
     code = codebook(len(langs))
