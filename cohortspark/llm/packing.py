@@ -5,7 +5,7 @@ into pieces of at most `capacity` ids without loss (`offsets` tells where each p
 LOT ids: longest first, each into the open row with the least room that is enough, found in a segment tree over the
 amounts of room; the OPEN rows with the most room stay open for the next lot, so memory is bounded and no row is
 closed early. Each row holds the ids (uint16, or int32 for larger vocabularies; padded), the cumulative lengths of
-its pieces from 0, and the position ids, which start again at every piece.
+its pieces from 0, and the position ids, which start again at every piece (uint16, or int32 for a capacity over 65,536).
 
 Defined results: a null or empty text has no ids and is in no row; a null doc_id is carried as null; rows that
 repeat a doc_id are packed each; further columns are ignored; an empty table gives no rows. A row's shard and
@@ -118,12 +118,17 @@ class Encoder:
         return np.array([*self.of.encode_ordinary(text), self.end], self.dtype)
 
 
+def position_type(capacity: int) -> type:
+    """Position ids run up to capacity - 1."""
+    return np.uint16 if capacity <= 1 << 16 else np.int32
+
+
 def pack(docs: DataFrame, capacity: int = CAPACITY, ranks: str = RANKS) -> DataFrame:
     """Packed rows of docs (doc_id, text)."""
 
     def batch(rows: list[list], shard: int, number: int, encoder: Encoder) -> pa.RecordBatch:
         ids = np.full((len(rows), capacity), encoder.end, encoder.dtype)
-        at = np.zeros((len(rows), capacity), encoder.dtype)
+        at = np.zeros((len(rows), capacity), position_type(capacity))
         ends = []
         for i, row in enumerate(rows):
             to = np.r_[0, np.cumsum([len(p[2]) for p in row])].astype(np.int32)
