@@ -1,7 +1,9 @@
 """Exact top-k inner-product search by tiled matrix products.
 
-Queries are dealt out to tiles and all vectors to shards by hash, sized by a count; each pair of a tile and a shard
-is one matrix product in one task, from which the best k of every query are selected. These short lists are merged
+Queries are dealt out to tiles and all vectors to shards by hash. Both hold up to TILE_BYTES of numbers, so that a
+vector is copied once for every TILE_BYTES of queries and a query once for every TILE_BYTES of vectors; where all
+vectors fit in fewer shards than the session has cores, shards are smaller. Each pair of a tile and a shard is one matrix
+product in one task, from which the best k of every query are selected. These short lists are merged
 in a tree: within groups of shards, then over the groups. Products of whole numbers are exact in double precision
 below 2**53, which is checked for each pair; beyond that they are made with unbounded integers.
 
@@ -20,7 +22,9 @@ from pyspark.sql import functions as F
 
 from . import common
 
-TILE, SHARD = 2048, 16384
+TILE_BYTES, LEAST_ROWS = 32 << 20, 2048
+#: Scores that a task holds at once.
+SCORES = 1 << 22
 SCHEMA = "query_id long, vec_id long, score long, shard int"
 
 
@@ -45,8 +49,9 @@ def best(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k:
     out: list[tuple] = []
     order = np.argsort(c_ids, kind="stable")
     c_ids, c = c_ids[order], c[order]
-    for at in range(0, len(q_ids), 256):
-        ids, score = q_ids[at : at + 256], products(q[at : at + 256], c)
+    step = max(1, SCORES // max(1, len(c)))
+    for at in range(0, len(q_ids), step):
+        ids, score = q_ids[at : at + step], products(q[at : at + step], c)
         other = ids[:, None] != c_ids[None]
         if score.dtype == object:
             for i, d in enumerate(ids):
@@ -68,11 +73,18 @@ def best(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k:
     return tuple(np.array([x[i] for x in out], np.int64) for i in range(3))
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256, tile: int = TILE, shard: int = SHARD) -> DataFrame:
-    """query_id, rank, vec_id, score: for each query (vec_id, embedding) its k best of vectors (vec_id, embedding)."""
+def search(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256, tile: int | None = None, shard: int | None = None) -> DataFrame:
+    """query_id, rank, vec_id, score: for each query (vec_id, embedding) its k best of vectors (vec_id, embedding).
+
+    tile and shard are rows; left out, they follow from TILE_BYTES.
+    """
     fit = lambda df: df.where("vec_id is not null and embedding is not null").where(F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x.cast("double")) < float("inf")))).select("vec_id", "embedding").distinct()
     all_, asked = common.written(fit(vectors), "topk-vectors"), common.written(fit(queries), "topk-queries")
-    tiles, shards = max(1, -(-asked.count() // tile)), max(1, -(-all_.count() // shard))
+    n, dims = all_.agg(F.count("*"), F.coalesce(F.max(F.size("embedding")), F.lit(1))).head()
+    most = max(1, TILE_BYTES // (8 * max(1, dims)))
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    tiles = max(1, -(-asked.count() // (tile or most)))
+    shards = max(1, -(-n // (shard or min(most, max(LEAST_ROWS, -(-n // cores))))))
     dim = F.size("embedding").alias("dim")
     number = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
     left = asked.select("vec_id", "embedding", dim, number(tiles).alias("tile"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
