@@ -3,17 +3,18 @@
 The words of each source, document after document, are packed into blocks of one length: BLOCK words, or a
 FEWEST-th of the source where that is less (the last block may be shorter). Targets share the size of all sources
 by weight; none goes over CAP times its source's size, and what is above is shared again among the others. A
-source's target gives a number of slots. The mix is cut into SHARDS output shards; each draws how many of its
-slots go to each source from a multinomial distribution over the slots that the sources have left, so that the
-sources' totals come out as planned. Slot number i of a source stands for the block with index
+source's target gives a number of slots. The mix is cut into SHARDS output shards; each source deals its slots to them by
+a multinomial draw, so that a shard's counts of the sources are multinomial by the sources' slots and the sources'
+totals come out as planned. Slot number i of a source stands for the block with index
 permutation_e(i mod blocks), e = i div blocks: a fresh pseudorandom permutation of the source's blocks in each pass (a
 Feistel network over the index, walking on while it is out of range), so a block comes once a pass and no more
 than CAP times. Slots and blocks are joined by source and index.
 
 Everything follows from the rows and SEED: reruns agree.
 
-Bounds: the driver gathers one row for each source (name, size, blocks) and draws for at most SHARDS shards; both
-are the mix's recipe, not its data. Nothing else leaves the executors; a hot source is dealt out over chunks.
+Nothing is gathered on the driver but a handful of sums: sources may be as many as documents. They are sent to all tasks up to
+BROADCAST_SOURCES, beyond that they are joined by shuffles, of which Spark can split a hot source. Documents are
+placed by a range-partitioned sort, in which a hot source, or a hot doc_id, fills many ranges.
 
 Defined results: a null or wordless text has size 0 and is never taken; a null source is a source of its own and
 sorts last; a null doc_id is a document like any other; rows that repeat a doc_id are each placed and taken, and
@@ -27,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,7 +40,9 @@ BLOCK = 128
 FEWEST = 128
 SHARDS = 256
 SEED = 20240
-CHUNK_ROWS = 5_000
+BROADCAST_SOURCES = 100_000
+#: Slots that a row stands for before they are spelt out.
+SLOT_RANGE = 1 << 16
 ROUNDS = 4
 
 
@@ -48,39 +52,25 @@ def word_count(text: Column) -> Column:
     return F.when(flat == "", F.lit(0)).otherwise(F.size(F.split(flat, r"[\x20\x09-\x0D]+"))).cast("bigint")
 
 
-def targets(sizes: list[int], weights: list[float], cap: float = CAP) -> list[float]:
-    """Shares of the total by weight, none above cap * size; what is above is shared again."""
-    total, open_ = float(sum(sizes)), [i for i, s in enumerate(sizes) if s]
-    out = [0.0] * len(sizes)
-    left = total
-    while open_:
-        scale = left / sum(weights[i] for i in open_)
-        over = [i for i in open_ if scale * weights[i] > cap * sizes[i]]
-        if not over:
-            for i in open_:
-                out[i] = scale * weights[i]
-            break
-        for i in over:
-            out[i] = float(cap * sizes[i])
-            left -= out[i]
-        open_ = [i for i in open_ if i not in set(over)]
-        left = max(left, 0.0)
-    return out
-
-
-def shard_counts(slots: list[int], shards: int, seed: int = SEED) -> np.ndarray:
-    """Slots of each shard (rows) and source: multinomial over what is left, never more than is left."""
-    rng = np.random.Generator(np.random.PCG64(seed))
-    left, total = np.array(slots, np.int64), int(sum(slots))
-    out = np.zeros((shards, len(slots)), np.int64)
-    for k in range(shards):
-        size = total * (k + 1) // shards - total * k // shards
-        while size > 0:
-            draw = np.minimum(rng.multinomial(size, left / left.sum()), left)
-            out[k] += draw
-            left -= draw
-            size -= int(draw.sum())
-    return out
+def level(sizes: DataFrame, weight: Column, cap: float = CAP) -> float:
+    """The share of a weight of 1: each source's target is that times its weight, or cap times its size if that is less.
+
+    sizes has `size`, one row a source. Each round shares what the full sources leave among the others; rounds end
+    when no further source is full.
+    """
+    used = sizes.where("size > 0")
+    total, share, full = used.agg(F.coalesce(F.sum("size"), F.lit(0))).head()[0], 0.0, -1
+    while True:
+        over = F.lit(share) * weight > F.lit(cap) * F.col("size")
+        n, taken, left = used.agg(F.count(F.when(over, 1)), F.sum(F.when(over, F.col("size")).otherwise(0)), F.sum(F.when(over, 0.0).otherwise(weight))).head()
+        if n == full or not left:
+            return share
+        full, share = n, (total - cap * taken) / left
+
+
+def shard_counts(slots: int, sid: int, shards: int, seed: int = SEED) -> np.ndarray:
+    """How many of a source's slots each shard draws."""
+    return np.random.Generator(np.random.PCG64([seed, sid])).multinomial(slots, np.full(shards, 1 / shards))
 
 
 def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -101,88 +91,119 @@ def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
     return x.astype(np.int64)
 
 
-class Recipe:
-    """What the mix is made by: for each source its name, size, target, block length, blocks and slots."""
-
-    def __init__(self, rows: list[tuple[str | None, int]], weights: tuple[float, ...] = WEIGHTS, seed: int = SEED) -> None:
-        rows = sorted(rows, key=lambda r: (r[0] is None, r[0] or ""))  # Python compares strings by code point
-        self.names = [r[0] for r in rows]
-        self.sizes = [int(r[1]) for r in rows]
-        self.targets = targets(self.sizes, [weights[i % len(weights)] for i in range(len(rows))])
-        self.lengths = [max(1, min(BLOCK, s // FEWEST)) for s in self.sizes]
-        self.blocks = [-(-s // b) for s, b in zip(self.sizes, self.lengths, strict=True)]
-        self.slots = [min(round(t * n / s), CAP * n) if s else 0 for t, n, s in zip(self.targets, self.blocks, self.sizes, strict=True)]
-        self.seed = seed
-
-    def frame(self, spark: SparkSession) -> DataFrame:
-        rows = list(zip(range(len(self.names)), self.names, self.sizes, self.targets, self.lengths, strict=True))
-        return spark.createDataFrame(rows, "sid int, source string, source_size long, target double, length int")
-
-
-def placed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED) -> tuple[DataFrame, Recipe]:
-    """(doc_id, size, sid, source_size, target, length, start: words of the source before this row), and the recipe.
-
-    A column `_row` is kept. Rows of one doc_id are placed by their texts, so that the places follow from the rows.
+def sources(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
+    """source, sid, source_size, target, length, blocks, slots: the mix's recipe, one row a source."""
+    sums = common.written(sized.groupBy("source").agg(F.sum("size").alias("size")), "mix-sums")
+    table = common.written(common.ranked(sums, F.col("source").asc_nulls_last(), name="sid"), "mix-ranks")
+    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.col("sid") % len(weights) + 1).cast("int"))
+    share = level(table, weight)
+    target = F.when(F.col("size") > 0, F.least(F.lit(share) * weight, F.lit(float(CAP)) * F.col("size"))).otherwise(0.0)
+    table = table.select("source", "sid", F.col("size").alias("source_size"), target.alias("target"), F.expr(f"greatest(1, least({BLOCK}, size div {FEWEST}))").alias("length"))
+    table = table.withColumn("blocks", F.expr("(source_size + length - 1) div length"))
+    slots_ = F.when(F.col("source_size") > 0, F.least(F.round(F.col("target") * F.col("blocks") / F.col("source_size")), F.col("blocks") * CAP)).otherwise(0)
+    return common.written(table.withColumn("slots", slots_.cast("bigint")), "mix-sources")
+
+
+def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the range's number and `_inner`, the words of the source before the row in this range."""
+    part, last, total = TaskContext.get().partitionId(), None, 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        sid, size = (b.column(b.schema.get_field_index(c)).to_numpy() for c in ("sid", "size"))
+        first = np.flatnonzero(np.r_[True, sid[1:] != sid[:-1]])
+        inner = np.cumsum(size) - size
+        base = inner[first] - np.where((first == 0) & (sid[first] == last), total, 0)
+        inner -= np.repeat(base, np.diff(np.r_[first, len(sid)]))
+        last, total = sid[-1], inner[-1] + size[-1]
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(len(sid), part, np.int32)), pa.array(inner)], names=[*b.schema.names, "_part", "_inner"])
+
+
+def placed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS) -> tuple[DataFrame, DataFrame]:
+    """(_row, doc_id, size, sid, source_size, target, length, start: words of the source before this row), and sources().
+
+    docs has a `_row` of its own for each row. Rows are placed by a hash of doc_id and text; only rows that are equal in
+    both go by `_row`, so that the places follow from the rows.
     """
-    row = [c for c in docs.columns if c == "_row"]
-    sized = docs.select("doc_id", *row, F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("digest"))
-    sized = common.written(sized, "mix-sizes")
-    totals = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()  # one row a source
-    recipe = Recipe([(r.source, r["size"]) for r in totals], weights, seed)
-    chunks = max(1, -(-sum(r.n for r in totals) // CHUNK_ROWS))
     spark = docs.sparkSession
-    sized = sized.join(F.broadcast(recipe.frame(spark).withColumnRenamed("source", "name")), F.col("source").eqNullSafe(F.col("name"))).drop("name", "source")
-    sized = sized.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(chunks)))
-    sums = sized.groupBy("sid", "chunk").agg(F.sum("size").alias("words"))
-    before = Window.partitionBy("sid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("sid", "chunk", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base"))
-    within = Window.partitionBy("sid", "chunk").orderBy("doc_id", "size", "digest").rowsBetween(Window.unboundedPreceding, -1)
-    sized = sized.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    out = sized.join(sums, ["sid", "chunk"]).withColumn("start", F.col("base") + F.col("inner"))
-    return common.written(out.select("doc_id", *row, "size", "sid", "source_size", "target", "length", "start"), "mix-places"), recipe
-
-
-def slots(spark: SparkSession, recipe: Recipe, shards: int = SHARDS) -> DataFrame:
-    """sid, idx, shard, slot: every slot of the mix and the block that it stands for."""
-    base = np.r_[0, np.cumsum(recipe.slots)]
-    ends = np.cumsum(shard_counts(recipe.slots, shards, recipe.seed), axis=0)
-    shared = spark.sparkContext.broadcast((base, np.array(recipe.blocks), ends, recipe.seed))
+    sized = docs.select("_row", "doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("digest"))
+    sized = common.written(sized, "mix-sizes")
+    table = sources(sized, weights)
+    side = table.select(F.col("source").alias("name"), "sid", "source_size", "target", "length")
+    side = F.broadcast(side) if table.count() <= BROADCAST_SOURCES else common.shuffled(side)
+    rows = sized.join(side, F.col("source").eqNullSafe(F.col("name"))).withColumn("mixed", F.xxhash64("doc_id", "digest"))
+    keys = ["sid", "mixed", "doc_id", "size", "digest", "_row"]
+    rows = rows.repartitionByRange(common.partitions(spark), *keys).sortWithinPartitions(*keys).select("_row", "doc_id", "size", "sid", "source_size", "target", "length")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    rows = common.written(rows.mapInArrow(_running, f"{schema}, _part int, _inner long"), "mix-places")
+    sums = rows.groupBy("_part", "sid").agg(F.sum("size").alias("words"))
+    before = Window.partitionBy("sid").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    # only the first source of a range can have begun in an earlier one, so that there is at most one such row a range
+    base = sums.select("_part", "sid", F.sum("words").over(before).alias("_base")).where("_base > 0")
+    out = rows.join(F.broadcast(base), ["_part", "sid"], "left").withColumn("start", F.coalesce("_base", F.lit(0)) + F.col("_inner"))
+    return out.drop("_part", "_inner", "_base"), table
+
+
+def slots(table: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+    """sid, idx, shard, slot: every slot of the mix, its shard, and the block that it stands for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, blocks, ends, seed = shared.value
         for b in batches:
-            g = b.column(0).to_numpy()
-            sid = np.searchsorted(base, g, "right") - 1
-            slot = g - base[sid]
-            idx, shard = np.zeros(len(g), np.int64), np.zeros(len(g), np.int32)
-            turn = slot // np.maximum(blocks[sid], 1)
-            for s, e in {*zip(sid.tolist(), turn.tolist(), strict=True)}:
-                at = np.flatnonzero((sid == s) & (turn == e))
-                idx[at] = permuted(slot[at] % blocks[s], int(blocks[s]), seed + 1_000_003 * s + 7919 * e)
-                shard[at] = np.searchsorted(ends[:, s], slot[at], "right")
-            yield pa.RecordBatch.from_arrays([pa.array(sid.astype(np.int32)), pa.array(idx), pa.array(shard), pa.array(slot)], names=["sid", "idx", "shard", "slot"])
-
-    return spark.range(int(base[-1])).mapInArrow(run, "sid int, idx long, shard int, slot long")
-
-
-def taken_blocks(spark: SparkSession, places: DataFrame, recipe: Recipe) -> DataFrame:
-    """sid, start, doc_id, size, skip, words, times: stretches of documents (words from `skip`) that the mix takes `times` times."""
-    first, last = F.expr("start div length"), F.expr("(start + size - 1) div length")
-    parts = places.where("size > 0").withColumn("idx", F.explode(F.sequence(first, last)))
+            for sid, blocks, n, at in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                slot = np.arange(at, min(at + SLOT_RANGE, n))
+                shard = np.searchsorted(np.cumsum(shard_counts(n, sid, shards, seed)), slot, "right").astype(np.int32)
+                turn, idx = slot // blocks, np.zeros(len(slot), np.int64)
+                for e in range(int(turn[0]), int(turn[-1]) + 1):
+                    here = turn == e
+                    idx[here] = permuted(slot[here] % blocks, blocks, seed + 1_000_003 * sid + 7919 * e)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(slot), sid)), pa.array(idx), pa.array(shard), pa.array(slot)], names=["sid", "idx", "shard", "slot"])
+
+    ranges = table.where("slots > 0").select("sid", "blocks", "slots", F.explode(F.expr(f"sequence(0, slots - 1, {SLOT_RANGE})")).alias("at"))
+    return ranges.repartition(common.partitions(table.sparkSession), "sid", "at").mapInArrow(run, "sid long, idx long, shard int, slot long")
+
+
+def _parts(places: DataFrame) -> DataFrame:
+    """sid, idx, start, _row, doc_id, size, skip, words: the stretch that each document has in each block."""
+    parts = places.where("size > 0").withColumn("idx", F.explode(F.sequence(F.expr("start div length"), F.expr("(start + size - 1) div length"))))
     lo = F.greatest(F.col("start"), F.col("idx") * F.col("length"))
     hi = F.least(F.col("start") + F.col("size"), (F.col("idx") + 1) * F.col("length"))
-    row = [c for c in places.columns if c == "_row"]
-    parts = parts.select("sid", "idx", "start", "doc_id", *row, "size", (lo - F.col("start")).cast("int").alias("skip"), (hi - lo).cast("int").alias("words"))
-    times = slots(spark, recipe).groupBy("sid", "idx").agg(F.count("*").cast("int").alias("times"))
-    return parts.join(times, ["sid", "idx"])
+    return parts.select("sid", "idx", "start", "_row", "doc_id", "size", (lo - F.col("start")).cast("int").alias("skip"), (hi - lo).cast("int").alias("words"))
+
+
+def taken_blocks(places: DataFrame, table: DataFrame, seed: int = SEED) -> DataFrame:
+    """_parts() and times: stretches of documents (words from `skip`) that the mix takes `times` times."""
+    times = slots(table, seed=seed).groupBy("sid", "idx").agg(F.count("*").cast("int").alias("times"))
+    return _parts(places).join(common.shuffled(times), ["sid", "idx"])
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document."""
-    places, recipe = placed(docs, weights, seed)
-    taken = taken_blocks(docs.sparkSession, places, recipe).groupBy("sid", "start").agg(F.sum(F.col("words").cast("bigint") * F.col("times")).alias("taken"))
-    full = places.where("size > 0").join(taken, ["sid", "start"], "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
-    return full.unionAll(places.where("size = 0").select("doc_id", "size", "source_size", "target", F.lit(0).cast("bigint")))
+    places, table = placed(docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "source", "text"), weights)
+    taken = taken_blocks(places, table, seed).groupBy("_row").agg(F.sum(F.col("words").cast("bigint") * F.col("times")).alias("taken"))
+    full = places.join(common.shuffled(taken), "_row", "left")
+    return full.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for text, parts in zip(common.text_column(b).to_pylist(), b.column(1).to_pylist(), strict=True):
+            words = text.encode().split()
+            piece = [b" ".join(words[p["skip"] : p["skip"] + p["words"]]).decode() for p in parts]
+            yield pa.RecordBatch.from_arrays([*(pa.array([p[c] for p in parts], pa.int64()) for c in ("sid", "idx", "start")), pa.array(piece, pa.string())], names=["sid", "idx", "start", "piece"])
+
+
+def mixed_blocks(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED) -> DataFrame:
+    """shard, source, slot, idx, text: the mix itself, a row for each slot with its block's words joined by spaces."""
+    docs = common.keyed(docs)
+    places, table = placed(docs, weights)
+    drawn = common.written(slots(table, seed=seed), "mix-slots")
+    used = _parts(places).join(common.shuffled(drawn.select("sid", "idx").distinct()), ["sid", "idx"])
+    parts = used.groupBy("_row").agg(F.collect_list(F.struct("sid", "idx", "start", "skip", "words")).alias("parts"))
+    pieces = docs.join(common.shuffled(parts), "_row").select("text", "parts").mapInArrow(_pieces, "sid long, idx long, start long, piece string")
+    of = F.array_sort(F.collect_list(F.struct("start", "piece")))  # at most as many as a block has words
+    blocks = pieces.groupBy("sid", "idx").agg(F.array_join(F.transform(of, lambda p: p["piece"]), " ").alias("text"))
+    named = drawn.join(common.shuffled(table.select("sid", "source")), "sid")
+    return named.join(common.shuffled(blocks), ["sid", "idx"]).select("shard", "source", "slot", "idx", "text")
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED) -> DataFrame:
@@ -193,8 +214,8 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed:
     """
     names, schema = docs.columns, docs.schema
     docs = common.keyed(docs)
-    places, recipe = placed(docs, weights, seed)
-    taken = taken_blocks(docs.sparkSession, places, recipe).groupBy("_row").agg(F.struct(F.collect_list(F.struct("skip", "words", "times")).alias("parts"), F.max("size").alias("size")).alias("_mixed"))
+    places, table = placed(docs, weights)
+    taken = taken_blocks(places, table, seed).groupBy("_row").agg(F.struct(F.collect_list(F.struct("skip", "words", "times")).alias("parts"), F.max("size").alias("size")).alias("_mixed"))
     joined = docs.join(common.shuffled(common.written(taken, "mix-taken")), "_row").select(*names, "_mixed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
