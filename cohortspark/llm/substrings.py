@@ -1,12 +1,16 @@
 """Substring deduplication by relative Lempel-Ziv parsing.
 
-The reference of a document is every document with a smaller doc_id. It is indexed in blocks: each window of
-WINDOW words belongs to the smallest ANCHOR-word hash within it, neighbouring windows with one anchor form a run,
-and all runs of an anchor, whichever documents they are from, lie in one index block. A document is factored
-greedily against every block that can hold a factor of its words: from a word on, the factor goes on as long as each
-window of it starts in a smaller document; what is no such window is literal. Factors shorter than WINDOW words are
-no duplicates. Since a factor is grown window by window, windows across the boundary of two factors have been
-checked too: overlapping factors merge into one span.
+The reference of a document is every document with a smaller doc_id. Every distinct window of WINDOW words is indexed
+once, at its home: the first place of the smallest document that has it. The index is made in blocks: each window belongs
+to the smallest ANCHOR-word hash within it, neighbouring windows with one anchor form a run, and all runs of an anchor,
+whichever documents they are from, lie in one index block.
+
+A document is factored greedily against all blocks: a factor begins at a window that has a home in a smaller document
+and goes on, window by window, as long as the next window's home is the next place of the same document; it is (first
+word, words, source, first word in the source) and is found there word for word. The next factor begins behind it; what is
+in no factor is literal. Factors shorter than WINDOW words do not arise. At factor boundaries, the windows that reach
+over the end of a factor are looked up as well: the duplicate spans are all words of all windows that have a home in a
+smaller document, whether one factor holds them or two that meet.
 
 Blocks whose runs are all equal (128 bits) are settled by their smallest doc_id alone. In the others the windows
 themselves are compared by hash (128 bits with the anchor); these are the ends of shared passages. Every comparison
@@ -31,8 +35,8 @@ from pyspark.sql import functions as F
 from . import common
 
 WINDOW, ANCHOR = 50, 8
-RUNS = "doc_id long, digest long, start int, n int, anchor long, body long"
-WINDOWS = "doc_id long, digest long, start int, anchor long, body long"
+RUNS = "doc_id long, digest long, start int, n int, anchor long, body long, home int"
+WINDOWS = "doc_id long, digest long, start int, anchor long, body long, home int"
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, n_factors int"
 
 
@@ -40,8 +44,14 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("digest"), "text")
 
 
+def _homes(row: np.ndarray, start: np.ndarray, anchor: np.ndarray, body: np.ndarray) -> np.ndarray:
+    """The first `start` of the same words in the same row; rows and starts rise."""
+    _, first, of = np.unique(common.mix2(common.mix2(row.astype(np.uint64), anchor), body), return_index=True, return_inverse=True)
+    return start[first][of]
+
+
 def runs(docs: DataFrame) -> DataFrame:
-    """Runs of n windows from word `start` that share an anchor, and a hash of all their words."""
+    """Runs of n windows from word `start` that share an anchor, a hash of all their words, and their first place in the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in common.slices(batches):
@@ -61,9 +71,11 @@ def runs(docs: DataFrame) -> DataFrame:
             place = (np.arange(len(ok)) - np.repeat(first, n)).astype(np.uint64)
             body = common.fmix(np.add.reduceat(common.mix2(bodies[ok], place), first) + n.astype(np.uint64))
             at = row[first]
+            start = (ok[first] - words.rows[at]).astype(np.int32)
+            home = _homes(at, start, anchor[first], body)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(at)), b.column(1).take(pa.array(at)), pa.array((ok[first] - words.rows[at]).astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(common.signed(anchor[first])), pa.array(common.signed(body))],
-                names=["doc_id", "digest", "start", "n", "anchor", "body"],
+                [b.column(0).take(pa.array(at)), b.column(1).take(pa.array(at)), pa.array(start), pa.array(n.astype(np.int32)), pa.array(common.signed(anchor[first])), pa.array(common.signed(body)), pa.array(home)],
+                names=["doc_id", "digest", "start", "n", "anchor", "body", "home"],
             )
 
     return _texts(docs).where("doc_id is not null").mapInArrow(run, RUNS)
@@ -79,72 +91,99 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = np.repeat(np.arange(b.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
         each = np.repeat(np.arange(len(n)), n)
         at = start[each] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
-        row = pa.array(row[each])
-        body = common.signed(bodies[words.rows[row.to_numpy()] + at])
-        yield pa.RecordBatch.from_arrays([b.column(0).take(row), b.column(1).take(row), pa.array(at.astype(np.int32)), pa.array(anchor[each]), pa.array(body)], names=["doc_id", "digest", "start", "anchor", "body"])
+        row, at, anchor = row[each], at.astype(np.int32), anchor[each]
+        order = np.lexsort((at, row))
+        row, at, anchor = row[order], at[order], anchor[order]
+        body = bodies[words.rows[row] + at]
+        home = _homes(row, at, anchor.view(np.uint64), body)
+        row = pa.array(row)
+        yield pa.RecordBatch.from_arrays([b.column(0).take(row), b.column(1).take(row), pa.array(at), pa.array(anchor), pa.array(common.signed(body)), pa.array(home)], names=["doc_id", "digest", "start", "anchor", "body", "home"])
 
 
 def matches(docs: DataFrame) -> DataFrame:
-    """doc_id, digest, start, n, source: n windows from `start` that begin in a smaller document, `source` among them."""
+    """doc_id, digest, start, n, source, at: n windows from `start` whose homes are `source`'s from `at` on."""
     all_ = common.written(runs(docs), "lz-runs")
-    blocks = all_.groupBy("anchor").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"), (F.min("body") == F.max("body")).alias("equal"))
+    # rows with the smallest doc_id of a block hold the same words, so that they all name the same first place
+    home = (F.min("doc_id").alias("source"), F.max("doc_id").alias("last"), F.min_by("home", "doc_id").alias("at"))
+    blocks = all_.groupBy("anchor").agg(*home, (F.min("body") == F.max("body")).alias("equal"))
     # written before the join, so that both its sides are plain shuffles, of which Spark can split large keys
-    blocks = common.written(blocks.where("source < last").select("anchor", "source", "equal"), "lz-blocks")
-    hits = common.written(all_.join(common.shuffled(blocks), "anchor").where("not equal or source < doc_id").select("doc_id", "digest", "start", "n", "anchor", "source", "equal"), "lz-hits")
+    blocks = common.written(blocks.where("source < last").select("anchor", "source", "at", "equal"), "lz-blocks")
+    hits = common.written(all_.join(common.shuffled(blocks), "anchor").where("not equal or source < doc_id").select("doc_id", "digest", "start", "n", "anchor", "source", "at", "equal"), "lz-hits")
+    common.discard(all_, blocks)
     mixed = hits.where("not equal").groupBy("doc_id", "digest").agg(F.collect_set(F.struct("start", "n", "anchor")).alias("runs"))
     windows = common.written(_texts(docs).join(common.shuffled(mixed), ["doc_id", "digest"]).select("doc_id", "digest", "text", "runs").mapInArrow(_windows, WINDOWS), "lz-windows")
-    first = windows.groupBy("anchor", "body").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last")).where("source < last").drop("last")
-    single = windows.join(common.shuffled(common.written(first, "lz-first")), ["anchor", "body"]).where("source < doc_id").select("doc_id", "digest", "start", F.lit(1).alias("n"), "source")
-    return hits.where("equal").select("doc_id", "digest", "start", "n", "source").unionAll(single)
+    first = common.written(windows.groupBy("anchor", "body").agg(*home).where("source < last").drop("last"), "lz-first")
+    single = windows.join(common.shuffled(first), ["anchor", "body"]).where("source < doc_id").select("doc_id", "digest", "start", F.lit(1).alias("n"), "source", "at")
+    return hits.where("equal").select("doc_id", "digest", "start", "n", "source", "at").unionAll(single)
+
+
+Spans = list[tuple[int, int]]
+Factors = list[tuple[int, int, int, int]]
 
 
-def factors(start: np.ndarray, n: np.ndarray, source: np.ndarray) -> list[tuple[int, int, int]]:
-    """Greedy factors (first word, words, source) from matching windows; each is as long as its windows go on."""
+def parse(start: np.ndarray, n: np.ndarray, source: np.ndarray, at: np.ndarray) -> tuple[Spans, Factors]:
+    """Duplicate spans (first word, words) and greedy factors (first word, words, source, first word in the source)."""
     order = np.argsort(start, kind="stable")
-    out: list[list[int]] = []
-    for s, k, d in zip(start[order].tolist(), n[order].tolist(), source[order].tolist(), strict=True):
-        stop = s + k - 1 + WINDOW
-        if out and s <= out[-1][1] - WINDOW + 1:
-            out[-1][1] = max(out[-1][1], stop)
+    spans: list[list[int]] = []
+    chains: list[list[int]] = []
+    for s, k, d, p in zip(*(x[order].tolist() for x in (start, n, source, at)), strict=True):
+        if spans and s <= spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], s + k - 1 + WINDOW)
         else:
-            out.append([s, stop, d])
-    return [(s, e - s, d) for s, e, d in out]
+            spans.append([s, s + k - 1 + WINDOW])
+        last = chains[-1] if chains else None
+        if last and last[2] == d and last[0] + last[1] == s and last[3] + last[1] == p:
+            last[1] += k
+        else:
+            chains.append([s, k, d, p])
+    out, end = [], 0
+    for s, k, d, p in chains:
+        first = max(s, end)
+        if first < s + k:  # else no window of the chain begins behind the last factor
+            end = s + k - 1 + WINDOW
+            out.append((first, end - first, d, p + first - s))
+    return [(a, b - a) for a, b in spans], out
 
 
 def _parsed(docs: DataFrame) -> DataFrame:
-    found = matches(docs).groupBy("doc_id", "digest").agg(F.collect_set(F.struct("start", "n", "source")).alias("matches"))
+    found = matches(docs).groupBy("doc_id", "digest").agg(F.collect_set(F.struct("start", "n", "source", "at")).alias("matches"))
     return _texts(docs).join(common.shuffled(common.written(found, "lz-matches")), ["doc_id", "digest"], "left").select("doc_id", "text", "matches")
 
 
-def _each(b: pa.RecordBatch) -> Iterator[tuple[list[bytes], list[tuple[int, int, int]]]]:
-    """Words and factors of each row."""
+def _each(b: pa.RecordBatch) -> Iterator[tuple[list[bytes], Spans, Factors]]:
+    """Words, duplicate spans and factors of each row."""
     lists = b.column(2)
     flat = lists.flatten()
-    start, n, source = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+    start, n, source, home = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
     lens = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
     to = np.cumsum(lens)
     for text, a, e in zip(common.text_column(b).to_pylist(), to - lens, to, strict=True):
-        yield text.encode().split(), factors(start[a:e], n[a:e], source[a:e]) if e > a else []
+        yield text.encode().split(), *(parse(start[a:e], n[a:e], source[a:e], home[a:e]) if e > a else ([], []))
 
 
-def _kept(words: list[bytes], found: list[tuple[int, int, int]]) -> list[bytes]:
+def _kept(words: list[bytes], spans: Spans) -> list[bytes]:
     out, at = [], 0
-    for s, k, _ in found:
+    for s, k in spans:
         out += words[at:s]
-        at = max(at, s + k)
+        at = s + k
     return out + words[at:]
 
 
+_SPAN = pa.struct([("start", pa.int32()), ("length", pa.int32())])
+_FACTOR = pa.struct([("start", pa.int32()), ("length", pa.int32()), ("source", pa.int64()), ("position", pa.int32())])
+
+
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """doc_id, text without the words of duplicate spans (words joined by one space), spans (start, length, source)."""
+    """doc_id, text without the words of duplicate spans (words joined by one space), spans, factors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in common.slices(batches):
             got = list(_each(b))
-            spans = pa.array([[{"start": s, "length": k, "source": d} for s, k, d in f] for _, f in got], pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("source", pa.int64())])))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([b" ".join(_kept(w, f)).decode() for w, f in got], pa.string()), spans], names=["doc_id", "text", "spans"])
+            spans = pa.array([[dict(zip(("start", "length"), x, strict=True)) for x in s] for _, s, _ in got], pa.list_(_SPAN))
+            factors = pa.array([[dict(zip(("start", "length", "source", "position"), x, strict=True)) for x in f] for _, _, f in got], pa.list_(_FACTOR))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([b" ".join(_kept(w, s)).decode() for w, s, _ in got], pa.string()), spans, factors], names=["doc_id", "text", "spans", "factors"])
 
-    return _parsed(docs).mapInArrow(run, "doc_id long, text string, spans array<struct<start: int, length: int, source: long>>")
+    return _parsed(docs).mapInArrow(run, "doc_id long, text string, spans array<struct<start: int, length: int>>, factors array<struct<start: int, length: int, source: long, position: int>>")
 
 
 def removals(docs: DataFrame) -> DataFrame:
@@ -153,8 +192,8 @@ def removals(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in common.slices(batches):
             total, removed, digest, count = [], [], [], []
-            for words, found in _each(b):
-                kept = _kept(words, found)
+            for words, spans, found in _each(b):
+                kept = _kept(words, spans)
                 total.append(len(words))
                 removed.append(len(words) - len(kept))
                 digest.append(hashlib.sha256(b" ".join(kept)).hexdigest())
