@@ -3,6 +3,7 @@
 import hashlib
 import random
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -82,16 +83,49 @@ def test_substrings(spark, seed):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == brute_substrings(rows)
 
 
-def test_substring_spans(docs, rows):
+def test_substring_factors(docs, rows):
+    """Every factor is found word for word at its place of its source, and goes on as long as its windows' homes do."""
     got = {r.doc_id: r for r in substrings.deduplicate(docs).collect()}
     texts = dict(rows)
+    want = brute_substrings(rows)
+    homes = {}
+    for i, t in sorted(rows):
+        w = split(t)
+        for j in range(len(w) - 49):
+            homes.setdefault(tuple(w[j : j + 50]), (i, j))
     for i, r in got.items():
+        words, end = split(texts[i]), 0
+        covered = set()
         for s in r.spans:
-            words, source = split(texts[i])[s.start : s.start + s.length], split(texts[s.source])
-            assert s.source < i
-            assert any(words[:50] == source[j : j + 50] for j in range(len(source)))
-    want = brute_substrings(rows)
-    assert all(hashlib.sha256(r.text.encode()).hexdigest() == want[i][2] for i, r in got.items())
+            covered |= set(range(s.start, s.start + s.length))
+        for f in r.factors:
+            assert f.source < i
+            assert f.length >= 50
+            assert f.start >= end
+            end = f.start + f.length
+            assert set(range(f.start, end)) <= covered
+            assert words[f.start : end] == split(texts[f.source])[f.position : f.position + f.length]
+            assert homes[tuple(words[f.start : f.start + 50])] == (f.source, f.position)
+            # the next window, if there is one, has another home
+            after = tuple(words[end - 49 : end + 1])
+            assert len(after) < 50 or homes[after] != (f.source, f.position + f.length - 49)
+        # a duplicate window is in a factor or begins within one
+        for j in range(len(words) - 49):
+            if homes[tuple(words[j : j + 50])][0] < i:
+                assert any(f.start <= j < f.start + f.length for f in r.factors)
+        assert len(covered) == want[i][1]
+        assert hashlib.sha256(r.text.encode()).hexdigest() == want[i][2]
+
+
+def test_substring_boundaries(spark):
+    """A window over the end of a factor counts, whichever document it is from; the factor ends where its source ends."""
+    w = [f"w{k}" for k in range(80)]
+    rows_ = [(0, " ".join(w[:60])), (1, " ".join(w[10:])), (2, " ".join(w))]
+    got = {r.doc_id: r for r in substrings.deduplicate(spark.createDataFrame(rows_, "doc_id long, text string")).collect()}
+    assert [tuple(f) for f in got[1].factors] == [(0, 50, 0, 10)]
+    assert [tuple(f) for f in got[2].factors] == [(0, 60, 0, 0)]
+    assert [tuple(s) for s in got[2].spans] == [(0, 80)]
+    assert got[2].text == ""
 
 
 def test_substrings_odd_ids(spark):
@@ -235,6 +269,19 @@ def test_packing(docs, rows):
     assert set(parts) == {i for i, t in rows if t}
 
 
+def test_packing_positions(spark):
+    """Position ids go on beyond 65,535 where rows are that long."""
+    docs = spark.createDataFrame([(1, "a b " * 50000, "x"), (None, None, "y"), (1, "c", "z"), (2, "", "z")], "doc_id long, text string, row string").coalesce(1)
+    (row,) = packing.pack(docs, capacity=200_000).collect()
+    at = np.frombuffer(row.position_ids, np.int32)
+    assert len(at) == 200_000
+    assert row.doc_ids == [1, 1]
+    for s, e in zip(row.cu_seqlens[:-1], row.cu_seqlens[1:], strict=True):
+        assert at[s:e].tolist() == list(range(e - s))
+    assert row.cu_seqlens[1] > 65_536
+    assert packing.position_type(65_536) is np.uint16
+
+
 def test_best_fit():
     rng = random.Random(3)
     packer, plain = packing.Packer(100), []
@@ -322,16 +369,116 @@ def test_permutation():
         got = mixing.permuted(np.arange(n), n, 99)
         assert sorted(got.tolist()) == list(range(n))
     assert (mixing.permuted(np.arange(1000), 1000, 1) != mixing.permuted(np.arange(1000), 1000, 2)).mean() > 0.9
-    counts = mixing.shard_counts([700, 20, 0, 280], 16)
-    assert counts.sum(0).tolist() == [700, 20, 0, 280]
-    assert (counts.sum(1) > 60).all()
+    counts = np.array([mixing.shard_counts(n, k, 16) for k, n in enumerate([700, 20, 0, 280])])
+    assert counts.sum(1).tolist() == [700, 20, 0, 280]
+    assert (counts.sum(0) > 30).all()
+    assert (mixing.shard_counts(700, 0, 16) == counts[0]).all()
+
+
+def brute_taken(places, table):
+    """Words taken of each row: places in its source counted word by word, blocks drawn slot by slot."""
+    times = defaultdict(int)
+    for t in table:
+        for slot in range(t.slots):
+            turn, k = divmod(slot, t.blocks)
+            times[t.sid, int(mixing.permuted(np.array([k]), t.blocks, mixing.SEED + 1_000_003 * t.sid + 7919 * turn)[0])] += 1
+    return {p._row: sum(times[p.sid, at // p.length] for at in range(p.start, p.start + p["size"])) for p in places}
+
+
+def test_mix_by_words(docs):
+    """Documents tile their sources without gaps; what is taken follows from the blocks; shards hold what was drawn."""
+    keyed = docs.withColumn("_row", F.col("seed").cast("long"))
+    places, table = mixing.placed(keyed)
+    places, table = places.collect(), table.collect()
+    for t in table:
+        at = 0
+        for p in sorted((p for p in places if p.sid == t.sid and p["size"]), key=lambda p: p.start):
+            assert p.start == at
+            at += p["size"]
+        assert at == t.source_size
+        assert t.blocks == -(-t.source_size // t.length)
+    taken = brute_taken(places, table)
+    assert {r.doc_id: r.taken for r in mixing.mix(docs).collect()} == taken
+    drawn = mixing.mixed_blocks(docs).collect()
+    for t in table:
+        own = [r for r in drawn if r.source == t.source]
+        counts = mixing.shard_counts(t.slots, t.sid, mixing.SHARDS)
+        assert [sum(r.shard == k for r in own) for k in range(mixing.SHARDS)] == counts.tolist()
+        assert sorted(r.slot for r in own) == list(range(t.slots))
+    assert sum(len(split(r.text)) for r in drawn) == sum(taken.values())
+    assert all(len(split(r.text)) <= mixing.BLOCK for r in drawn)
+
+
+def test_mixing_odd(spark, monkeypatch):
+    """One doc_id for everything, clashing names, and sources that are not broadcast."""
+    names = "doc_id long, text string, source string, n_chars long, sid long, size string, start int, _part int, name string"
+    rows_ = [(7, "a b c d e f", "s", 11, 1, "x", 2, 3, "n")] * 500 + [(None, "g h", None, 3, 1, "x", 2, 3, "n")] * 40 + [(7, None, "t", None, 1, "x", 2, 3, "n")]
+    docs = spark.createDataFrame(rows_, names)
+    want = sorted(tuple(r) for r in mixing.mix(docs).fillna(-1).collect())
+    assert len(want) == 541
+    got = mixing.mixed_documents(docs)
+    assert got.columns == docs.columns
+    assert sum(len(split(r.text)) for r in got.collect()) == sum(r[4] for r in want)
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    assert sorted(tuple(r) for r in mixing.mix(docs).fillna(-1).collect()) == want
+
+
+def test_many_sources(spark):
+    """As many sources as documents: targets are those of the rule."""
+    n = 100_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("host"), "id").alias("source"), F.repeat(F.lit("w "), (F.col("id") % 4).cast("int")).alias("text"))
+    got = mixing.mix(docs).select("doc_id", "size", "target", "taken").toPandas().sort_values("doc_id", key=lambda c: c.astype(str))
+    size = (got.doc_id % 4).to_numpy()
+    assert (got["size"].to_numpy() == size).all()
+    weight = np.array([5.0, 2.0, 1.0])[np.arange(n) % 3]
+    share, full = 0.0, np.zeros(n, bool)
+    while True:  # shares among those that are not full
+        share = (size.sum() - 3.0 * size[full].sum()) / weight[~full & (size > 0)].sum()
+        now = share * weight > 3 * size
+        if (now == full).all():
+            break
+        full = now
+    assert np.allclose(got.target, np.where(size > 0, np.minimum(share * weight, 3 * size), 0))
+    assert (got.taken <= 3 * got["size"]).all()
+    assert (abs(got.taken - got.target) <= 0.5 + 1e-9).all()  # sources this small have blocks of one word
 
 
 def test_licenses(spark):
     mit = "Copyright (c) 2020 Somebody\nAll rights reserved.\n\n" + licenses.KNOWN["MIT"].replace("sublicense", "SubLicence").replace(" ", "\n")
-    cases = [(1, mit), (2, None), (3, ""), (4, "x " + licenses.KNOWN["MIT"]), (5, licenses.KNOWN["Zlib"].upper()), (None, "é")]
-    got = {r.doc_id: r.license for r in licenses.scan(spark.createDataFrame(cases, "doc_id long, text string"), licenses.known_licenses(spark)).collect()}
-    assert got == {1: "MIT", 2: None, 3: None, 4: None, 5: "Zlib", None: None}
+    cases = [(1, mit), (2, None), (3, ""), (4, "x " + licenses.KNOWN["MIT"]), (5, licenses.KNOWN["Zlib"].upper()), (None, "é"), (6, mit), (6, mit), (7, "word " * 200_000)]
+    found = spark.createDataFrame([(*c, "MIT", "d") for c in cases], "doc_id long, text string, license string, digest string")
+    got = licenses.scan(found, licenses.known_licenses(spark)).collect()
+    assert len(got) == len(cases)
+    assert {r.doc_id: r.license for r in got} == {1: "MIT", 2: None, 3: None, 4: None, 5: "Zlib", None: None, 6: "MIT", 7: None}
+    assert licenses.scan(found.where("false"), licenses.known_licenses(spark)).count() == 0
+    assert {r.license for r in licenses.scan(found, licenses.known_licenses(spark).where("false")).collect()} == {None}
+
+
+def test_known_licenses(spark):
+    """Every known text is found with its headings, bullets, another owner's notice, other case, marks and spellings."""
+    assert len({*licenses.KNOWN, *(k for k, _ in licenses.KNOWN_DIGESTS)}) >= 30
+    texts = [(k, t) for k in licenses.KNOWN for t in licenses.forms(k)]
+    owner = "Copyright (C) 1999-2024 The Example Authors <a@example.org>. All rights reserved.\n"
+    worn = [(k, (owner + t.upper().replace(",", " ;").replace("LICENSE ", "LICENCE ").replace("COPYRIGHT HOLDER", "COPYRIGHT OWNER"))) for k, t in texts]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts + worn)], "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(docs, licenses.known_licenses(spark)).collect()}
+    for i, (k, t) in enumerate(texts + worn):
+        assert got[i].license == k
+        assert got[i].digest == hashlib.sha256(licenses.canonical_text(t).encode()).hexdigest()
+    assert len({licenses.canonical_text(licenses.KNOWN[k]) for k in licenses.KNOWN}) == len(licenses.KNOWN)
+
+
+@pytest.mark.parametrize("name", ["Apache-2.0", "GPL-2", "GPL-3", "LGPL-2.1", "MPL-2.0", "CC0-1.0"])
+def test_long_licenses(spark, name):
+    folder = Path("/usr/share/common-licenses")
+    if not (folder / name).exists():
+        pytest.skip("the system has no licence texts")
+    text = (folder / name).read_text()
+    docs = spark.createDataFrame([(1, text), (2, text.lower().replace("\n", " \n\n")), (3, text + " and more")], "doc_id long, text string")
+    got = {r.doc_id: r.license for r in licenses.scan(docs, licenses.known_licenses(spark)).collect()}
+    assert got[1] == got[2]
+    assert got[1].startswith(name.split("-")[0])
+    assert got[3] is None
 
 
 def test_languages(spark):
@@ -355,6 +502,23 @@ def test_languages(spark):
     assert language_id.codebook(4).shape == (4, 7)
 
 
+def test_language_copies(spark):
+    """Copies of a row are one example, and fill no other row's place."""
+    texts = {"en": "the thing of and with", "de": "der und schaft über ein"}
+    rows_ = [(7, texts["en"], "en", 1.0, 0)] * 2000 + [(8, texts["de"] + " ä" * i, "de", 1.0, 0) for i in range(5)] + [(None, texts["de"], "de", 1.0, 0)] * 30 + [(9, None, "en", 1.0, 0), (9, "x" * 300_000, None, 1.0, 0)]
+    docs = spark.createDataFrame(rows_, "doc_id long, text string, lang string, score double, digest int").repartition(5)
+    model = language_id.fit(docs, sample=12)
+    got = language_id.identify(docs, model).collect()
+    assert len(got) == len(rows_)
+    assert all(r.lang_pred == "en" for r in got if r.doc_id == 7)
+    assert all(r.lang_pred == "de" for r in got if r.doc_id in (8, None))
+    assert {r.lang_pred for r in got if r.doc_id == 9} <= {"und", "en", "de"}
+    assert language_id.identify(docs.where("false"), model).count() == 0
+    assert language_id.fit(docs.where("lang = 'none'")) is None
+    many = spark.range(40).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("a"), "id", F.lit(" ")), 9).alias("text"), F.concat(F.lit("l"), "id").alias("lang"))
+    assert len(language_id.fit(many, sample=10).langs) == 40
+
+
 def test_toxicity(spark):
     rng = random.Random(4)
     clean = ["thea", "oner", "handat", "ingre", "tion", "wherer", "onthe", "reas", "edly", "shing"]
