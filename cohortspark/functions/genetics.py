@@ -59,6 +59,14 @@ def chromosome_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "chromosome int, length long, offset long").withColumn("middle", F.col("offset") + F.expr("length div 2"))
 
 
+def threshold_segments(spark: SparkSession) -> DataFrame:
+    """line, height (-log10 p), chromosome, x_start, x_end: the p-value lines, with a gap of a 500th of the genome at each chromosome's ends."""
+    gap = sum(HG19_LENGTHS) / 500
+    lines = F.explode(F.array(*(F.struct(F.lit(n).alias("line"), (-F.log10(F.lit(p))).alias("height")) for n, p in (("suggestive", SUGGESTIVE), ("genome_wide", GENOME_WIDE)))))
+    axis = chromosome_table(spark).select("chromosome", (F.col("offset") + gap).alias("x_start"), (F.col("offset") + F.col("length") - gap).alias("x_end"), lines.alias("l"))
+    return axis.select("l.line", "l.height", "chromosome", "x_start", "x_end")
+
+
 def minor_allele_frequency(af: Column) -> Column:
     return F.when(af <= 0.5, af).otherwise(1 - af)
 

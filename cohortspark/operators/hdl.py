@@ -8,16 +8,16 @@ broke off goes on where it stopped.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortspark.functions import genetics as G
 
 from .optim import minimise_box
+from .variables import quantiles
 
 #: Fixed values of the likelihood: size of the reference panel and least scaled eigenvalue.
 REFERENCE_N, LEAST = 335265, float(np.exp(-18.0))
@@ -34,20 +34,27 @@ def marginal_effects(reference: DataFrame, sumstats: DataFrame) -> DataFrame:
 
 def sample_counts(sumstats: DataFrame) -> DataFrame:
     """phenotype, least and median sample count."""
-    return sumstats.groupBy("phenotype").agg(F.min("n").alias("n_min"), F.percentile("n", F.lit(0.5)).alias("n_median"))
+    least = sumstats.groupBy("phenotype").agg(F.min("n").alias("n_min"))
+    return least.join(quantiles(sumstats, (0.5,), "phenotype", value="n").select("phenotype", F.col("q0").alias("n_median")), "phenotype")
 
 
 def rotate(effects: DataFrame, pieces: DataFrame) -> DataFrame:
-    """piece, phenotype, lam, snp_count, rotated: effects of a piece in its eigenvectors' coordinates."""
-    per = effects.groupBy("piece", "phenotype").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "effect"))), lambda e: e["effect"]).alias("effects"))
+    """piece, phenotype, lam, snp_count, rotated: effects of a piece in its eigenvectors' coordinates.
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rotated = [(np.array(v.tolist(), float).T @ np.asarray(e, float)).tolist() for v, e in zip(f["vectors"], f["effects"], strict=True)]
-            yield f[["piece", "phenotype", "lam"]].assign(snp_count=[len(e) for e in f["effects"]], rotated=rotated)
+    A piece's eigenvectors meet its effects of all phenotypes in one task, once and not once a phenotype.
+    """
+    schema = "piece int, phenotype string, lam array<double>, snp_count int, rotated array<double>"
+
+    def run(own: pd.DataFrame, piece: pd.DataFrame) -> pd.DataFrame:
+        if not len(own) or not len(piece):
+            return pd.DataFrame({"piece": [], "phenotype": [], "lam": [], "snp_count": [], "rotated": []})
+        vectors, lam = np.array(piece["vectors"].iloc[0].tolist(), float), np.asarray(piece["lam"].iloc[0], float)
+        wide = own.sort_values("ord").pivot(index="ord", columns="phenotype", values="effect")
+        out = (vectors.T @ wide.to_numpy(float)).T
+        return pd.DataFrame({"piece": int(piece["piece"].iloc[0]), "phenotype": wide.columns, "lam": [lam.tolist()] * len(out), "snp_count": len(wide), "rotated": out.tolist()})
 
-    joined = per.join(pieces.select("piece", "lam", "vectors"), "piece").select("piece", "phenotype", "lam", "vectors", "effects")
-    return joined.mapInPandas(run, "piece int, phenotype string, lam array<double>, snp_count int, rotated array<double>")
+    own = effects.select(F.col("piece").cast("int"), "ord", "phenotype", "effect").groupBy("piece")
+    return own.cogroup(pieces.select(F.col("piece").cast("int"), "lam", "vectors").groupBy("piece")).applyInPandas(run, schema)
 
 
 def scaled(slope: float, intercept: float, lam: np.ndarray, m: float, n: float) -> np.ndarray:
@@ -102,42 +109,77 @@ def jobs(phenotypes: DataFrame, pieces: DataFrame, step: str, done: DataFrame |
     return o.join(d, same, "left_anti")
 
 
-def estimate(rotated: DataFrame, counts: DataFrame, todo: DataFrame, parallel: int = 64) -> DataFrame:
-    """Results of the jobs. A job needs the rotated effects of its pieces only; they are small (an eigenvalue count a
-    piece) and are broadcast by phenotype."""
-    data: dict[str, dict[int, tuple]] = {}
-    for r in rotated.collect():  # the LD reference's eigenvalues: fixed by the reference, not by the corpus
-        data.setdefault(r.phenotype, {})[r.piece] = (np.array(r.lam), np.array(r.rotated), r.snp_count)
-    sizes = {r.phenotype: (float(r.n_min), float(r.n_median)) for r in counts.collect()}
-    shared = rotated.sparkSession.sparkContext.broadcast((data, sizes))
+def estimate(rotated: DataFrame, counts: DataFrame, todo: DataFrame, starts: DataFrame | None = None, group: int = 16) -> DataFrame:
+    """Results of the jobs; starts (phenotype1, phenotype2, slope, intercept) are tried first, as totals() of the pieces gives them.
+
+    Phenotypes are dealt out to groups of about `group`; a pair of groups is one task's work. It holds the rotated effects
+    of two groups only (eigenvalues of the reference, a fixed number a phenotype), so a phenotype's effects are copied
+    once for every group and not once for every job.
+    """
+    n = counts.select("phenotype").distinct().count()
+    groups = max(1, -(-n // group))
+    of = lambda c: F.pmod(F.xxhash64(c), F.lit(groups)).cast("int")
+    low, high = F.least(of("phenotype1"), of("phenotype2")), F.greatest(of("phenotype1"), of("phenotype2"))
+    jobs_ = todo.withColumns({"g": low, "h": high})
+    if starts is not None:
+        s = starts.select(F.col("phenotype1").alias("s1"), F.col("phenotype2").alias("s2"), F.col("slope").alias("start_slope"), F.col("intercept").alias("start_intercept"))
+        jobs_ = jobs_.join(s, (F.col("phenotype1") == F.col("s1")) & (F.col("phenotype2") == F.col("s2")), "left").drop("s1", "s2")
+    else:
+        jobs_ = jobs_.withColumns({"start_slope": F.lit(None).cast("double"), "start_intercept": F.lit(None).cast("double")})
+    data = rotated.join(counts, "phenotype").withColumn("g", of("phenotype")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    data = data.select(F.least("g", "other").alias("g"), F.greatest("g", "other").alias("h"), "piece", "phenotype", "lam", "snp_count", "rotated", "n_min", "n_median")
+    return jobs_.groupBy("g", "h").cogroup(data.groupBy("g", "h")).applyInPandas(_solve, SCHEMA)
 
-    def gather(own: dict[int, tuple], pieces: list[int]) -> tuple[np.ndarray, np.ndarray, float]:
+
+def _solve(todo: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+    data: dict[str, dict[int, tuple]] = {}
+    sizes: dict[str, tuple[float, float]] = {}
+    for r in rows.itertuples(index=False):
+        data.setdefault(r.phenotype, {})[r.piece] = (np.asarray(r.lam, float), np.asarray(r.rotated, float), r.snp_count)
+        sizes[r.phenotype] = (float(r.n_min), float(r.n_median))
+    known: dict[tuple, np.ndarray] = {}
+
+    def gather(name: str, pieces: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, float]:
+        own = data[name]
         return np.concatenate([own[p][0] for p in pieces]), np.concatenate([own[p][1] for p in pieces]), float(sum(own[p][2] for p in pieces))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        data, sizes = shared.value
-        known: dict[tuple, np.ndarray] = {}
-
-        def single(name: str, pieces: tuple[int, ...]) -> np.ndarray:
-            if (name, pieces) not in known:
-                known[name, pieces] = estimate1(*gather(data[name], list(pieces)), sizes[name][1])
-            return known[name, pieces]
-
-        for f in frames:
-            slopes = []
-            for p1, p2, one, left in f.itertuples(index=False):
-                all_ = sorted(data[p1])
-                pieces = (int(one),) if not pd.isna(one) else tuple(p for p in all_ if pd.isna(left) or p != left)
-                if p1 == p2:
-                    slopes.append(single(p1, pieces))
-                    continue
-                lam, b1, m = gather(data[p1], list(pieces))
-                _, b2, _ = gather(data[p2], list(pieces))
-                (min1, n1), (min2, n2) = sizes[p1], sizes[p2]
-                slopes.append(estimate2(lam, b1, b2, m, n1, n2, min(min1, min2), single(p1, pieces), single(p2, pieces)))
-            yield f.assign(slope=[s[0] for s in slopes], intercept=[s[1] for s in slopes])
-
-    return todo.repartition(parallel).mapInPandas(run, SCHEMA)
+    def single(name: str, pieces: tuple[int, ...], start: np.ndarray | None = None) -> np.ndarray:
+        if (name, pieces) not in known:
+            known[name, pieces] = estimate1(*gather(name, pieces), sizes[name][1], start)
+        return known[name, pieces]
+
+    out = []
+    for j in todo.itertuples(index=False):
+        pieces = (int(j.piecewise_index),) if not pd.isna(j.piecewise_index) else tuple(p for p in sorted(data[j.phenotype1]) if pd.isna(j.jackknife_index) or p != j.jackknife_index)
+        start = None if pd.isna(j.start_slope) else np.array([j.start_slope, 0.0 if pd.isna(j.start_intercept) else j.start_intercept])
+        if j.phenotype1 == j.phenotype2:
+            out.append(single(j.phenotype1, pieces, start))
+            continue
+        lam, b1, m = gather(j.phenotype1, pieces)
+        _, b2, _ = gather(j.phenotype2, pieces)
+        (min1, n1), (min2, n2) = sizes[j.phenotype1], sizes[j.phenotype2]
+        out.append(estimate2(lam, b1, b2, m, n1, n2, min(min1, min2), single(j.phenotype1, pieces), single(j.phenotype2, pieces), start))
+    done = todo[["phenotype1", "phenotype2", "piecewise_index", "jackknife_index"]]
+    return done.assign(slope=[x[0] for x in out], intercept=[x[1] for x in out])
+
+
+def starts(estimates: DataFrame) -> DataFrame:
+    """phenotype1, phenotype2, slope (summed over the pieces) and intercept (their mean): where whole-genome jobs begin."""
+    per = estimates.where("piecewise_index is not null").groupBy("phenotype1", "phenotype2")
+    return per.agg(F.sum("slope").alias("slope"), F.avg("intercept").alias("intercept"))
+
+
+def piece_ranges(pieces: DataFrame) -> DataFrame:
+    """piece, first_snp, last_snp, first_value, last_value (one past): where each piece's SNPs and eigenvalues lie in all of them."""
+    sizes = pieces.select("piece", F.size("vectors").alias("s"), F.size("lam").alias("e"))
+    up_to = Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, 0)  # the pieces of the reference: a fixed number
+    ends = sizes.select("piece", "s", "e", F.sum("s").over(up_to).alias("last_snp"), F.sum("e").over(up_to).alias("last_value"))
+    return ends.select("piece", (F.col("last_snp") - F.col("s")).alias("first_snp"), "last_snp", (F.col("last_value") - F.col("e")).alias("first_value"), "last_value")
+
+
+def own_estimates(estimates: DataFrame) -> DataFrame:
+    """Whole-genome estimates of single phenotypes: both names equal, no index."""
+    return estimates.where("phenotype1 = phenotype2 and piecewise_index is null and jackknife_index is null").select(F.col("phenotype1").alias("phenotype"), "slope", "intercept")
 
 
 def totals(estimates: DataFrame) -> DataFrame:

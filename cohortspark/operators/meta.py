@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortspark import lineage
 from cohortspark.functions import genetics as G
 
+from .variables import quantiles
+
 
 def study_filter(scores: DataFrame, maf: Column, r2: Column, n: Column, minor_alleles: float = 5.0, r2_cutoff: float = 0.6) -> DataFrame:
     """Variants with enough minor alleles (MAF at least minor_alleles / 2n) and quality, and a score that is not 0."""
@@ -63,7 +66,7 @@ def quality_filter(meta: DataFrame, present_only: bool = False) -> DataFrame:
 def legend_join(meta: DataFrame, legends: DataFrame, population: str, fallback: str | None = None) -> DataFrame:
     """Adds rsid and the panel's frequency by marker; a panel lacks many markers, which stay."""
     column = population if population in legends.columns else fallback
-    return meta.join(legends.select("marker_name", "rsid", F.col(column).alias("panel_freq")), "marker_name", "left")
+    return meta.join(legends.select("marker_name", "rsid", F.col(f"`{column}`").alias("panel_freq")), "marker_name", "left")
 
 
 def panel_frequency(rows: DataFrame) -> DataFrame:
@@ -85,16 +88,32 @@ def merge_tables(tables: dict[str, DataFrame], keys: list[str], columns: list[st
 
 
 def qq_points(p: DataFrame, value: str = "chi2") -> DataFrame:
-    """rank, expected and observed, largest first: expected is the quantile (rank - 0.5) / n of the uniform law.
+    """rank, expected and observed, largest first: expected is the quantile (rank - 0.5) / n of the uniform law."""
+    known = p.where(F.col(value).isNotNull()).select(F.col(value).alias("observed"), F.monotonically_increasing_id().alias("_tie"))
+    order = lineage.ranked(known, F.desc("observed"), "_tie", name="_rank")
+    n = order.agg(F.count("*").alias("_n"))
+    rank = (F.col("_rank") + 1).cast("bigint")
+    return order.crossJoin(F.broadcast(n)).select(rank.alias("rank"), ((rank - 0.5) / F.col("_n")).alias("expected"), "observed")  # n is one row
 
-    Ranks come from a range-partitioned sort: counts of the ranges are summed up and added to the ranks within.
-    """
-    spark = p.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sorted_ = p.where(F.col(value).isNotNull()).repartitionByRange(n, F.desc(value)).withColumn("_part", F.spark_partition_id())
-    within = Window.partitionBy("_part").orderBy(F.desc(value))
-    counts = sorted_.groupBy("_part").agg(F.count("*").alias("_n"))
-    total = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"), F.sum("_n").over(Window.partitionBy()).alias("_all"))
-    ranked = sorted_.withColumn("_r", F.row_number().over(within)).join(F.broadcast(total), "_part")
-    rank = (F.col("_r") + F.col("_base")).cast("bigint")
-    return ranked.select(rank.alias("rank"), ((rank - 0.5) / F.col("_all")).alias("expected"), F.col(value).alias("observed"))
+
+def se_n(rows: DataFrame, *keys: str) -> DataFrame:
+    """keys, n and se (the median standard error) of rows (keys, std_err): the points of the sample-size check."""
+    q = quantiles(rows, (0.5,), *keys, value="std_err")
+    return q.select(*keys, "n", F.col("q0").alias("se"))
+
+
+def se_n_fit(points: DataFrame) -> DataFrame:
+    """slope and intercept of 1 / se on the root of n, over points with both."""
+    x, y = F.sqrt("n"), 1 / F.col("se")
+    return points.where("n > 0 and se > 0").agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"))
+
+
+def study_boxes(per_study: DataFrame, statistic: str, counts: DataFrame) -> DataFrame:
+    """study, sample_count and the five quantiles of a statistic, studies with fewer samples first: a forest plot's data."""
+    own = per_study.where(F.col("statistic") == statistic).join(counts, "study")
+    return own.select("study", "sample_count", "minimum", "lower_quartile", "median", "upper_quartile", "maximum").orderBy("sample_count", "study")
+
+
+def frequency_pairs(rows: DataFrame) -> DataFrame:
+    """study, panel and own frequency of markers (study, freq1, allele1, allele2, a0, a1, panel_freq), turned to the panel's alleles."""
+    return panel_frequency(rows.where("panel_freq is not null")).select("study", F.col("panel_freq"), F.col("freq"))

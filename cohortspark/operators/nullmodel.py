@@ -30,6 +30,15 @@ def eigen(kinship: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.maximum(values[::-1], 0.0), vectors[:, ::-1]
 
 
+def eigen_of_factor(r: np.ndarray, n_variants: int) -> tuple[np.ndarray, np.ndarray]:
+    """Eigenvalues, largest first, and vectors of R'R / n_variants by singular values of the triangular factor, which
+    loses no digits to squaring; a low rank (but for one value) raises."""
+    _, values, right = np.linalg.svd(r)
+    if (values <= np.finfo(float).eps * max(r.shape) * values.max(initial=0.0)).sum() > 1:
+        raise ValueError("the triangular factor is not of full rank")
+    return values**2 / n_variants, right.T
+
+
 def subset(gram: np.ndarray, n_variants: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Eigenvalues and vectors for some of the samples: rows and columns of the matrix of all of them."""
     return eigen(gram[np.ix_(rows, rows)] / n_variants)
@@ -98,7 +107,7 @@ def fit(method: str, lam: np.ndarray, x: np.ndarray, y: np.ndarray, standard_se:
     inverse = np.diag(np.linalg.inv(t.x.T @ t.x))
     s2 = t.deviance / max(1, len(y) - x.shape[1])
     if method == "ml":
-        se = np.sqrt(inverse / 2)  # from the curvature of -2 log likelihood
+        se = curvature_se(lam, x, y, error, genetic, t.beta)
     else:
         se = np.sqrt(s2 * inverse) if standard_se else s2 * np.sqrt(inverse)
     return {
@@ -107,6 +116,33 @@ def fit(method: str, lam: np.ndarray, x: np.ndarray, y: np.ndarray, standard_se:
     }
 
 
+def curvature(lam: np.ndarray, x: np.ndarray, y: np.ndarray, error: float, genetic: float, beta: np.ndarray) -> np.ndarray:
+    """Second derivatives of -2 log likelihood (without penalty) by error variance, genetic variance and all of beta."""
+    v = genetic * lam + error
+    r = y - x @ beta
+    by = np.column_stack([np.ones(len(lam)), lam])  # of v, by the two variances
+    out = np.empty((2 + len(beta), 2 + len(beta)))
+    out[:2, :2] = (by * (2 * r**2 / v**3 - 1 / v**2)[:, None]).T @ by
+    out[2:, :2] = 2 * x.T @ (by * (r / v**2)[:, None])
+    out[:2, 2:] = out[2:, :2].T
+    out[2:, 2:] = 2 * x.T @ (x / v[:, None])
+    return out
+
+
+def curvature_se(lam: np.ndarray, x: np.ndarray, y: np.ndarray, error: float, genetic: float, beta: np.ndarray) -> np.ndarray:
+    """Standard errors of beta from the inverse of the whole curvature; NaN where that has no positive diagonal."""
+    with np.errstate(invalid="ignore"):
+        return np.sqrt(np.diag(np.linalg.inv(curvature(lam, x, y, error, genetic, beta)))[2:])
+
+
+def scatter(vectors: np.ndarray, own: list[str], union: list[str]) -> np.ndarray:
+    """Rows of a collection's eigenvectors at their samples' places among all samples; 0 for samples that it lacks."""
+    place = {s: i for i, s in enumerate(union)}
+    out = np.zeros((len(union), vectors.shape[1]))
+    out[[place[s] for s in own]] = vectors
+    return out
+
+
 def fit_all(phenotypes: DataFrame, eigens: dict[str, tuple[np.ndarray, np.ndarray]], covariates: dict[str, np.ndarray], method: str = "fastlmm", partitions: int = 64) -> DataFrame:
     """One row for each of phenotypes (collection, phenotype, y: values in the collection's sample order).
 

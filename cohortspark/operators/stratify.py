@@ -44,13 +44,13 @@ def range_classes(df: DataFrame, value: str, ranges: list[tuple[str, float, floa
 def prune(classes: DataFrame, minimum: int, variable: str = "variable") -> DataFrame:
     """Only classes with at least minimum samples."""
     big = classes.groupBy(variable, "class").agg(F.countDistinct("sample").alias("_n")).where(F.col("_n") >= minimum).select(variable, "class")
-    return classes.join(F.broadcast(big), [variable, "class"], "left_semi")
+    return classes.join(big, [variable, "class"], "left_semi")
 
 
 def with_mixed(classes: DataFrame, variable: str = "variable") -> DataFrame:
     """Adds the class `mixed`, the union of all, for variables with more than one class."""
     several = classes.groupBy(variable).agg(F.countDistinct("class").alias("_n")).where("_n > 1").select(variable)
-    return classes.unionByName(classes.join(F.broadcast(several), variable, "left_semi").withColumn("class", F.lit("mixed")).distinct())
+    return classes.unionByName(classes.join(several, variable, "left_semi").withColumn("class", F.lit("mixed")).distinct())
 
 
 def class_products(classes: DataFrame, variables: list[str], minimum: int) -> DataFrame:
@@ -84,9 +84,9 @@ def membership(samples: DataFrame, reference: DataFrame, components: list[str],
     tests = []
     for r in reference.groupBy("population").agg(*aggs).orderBy("population").collect():
         cov = np.array([[r[f"c{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)], float)
-        sign, logdet = np.linalg.slogdet(cov)
+        sign, logdet = np.linalg.slogdet(cov) if np.isfinite(cov).all() else (0.0, 0.0)
         if sign <= 0:
-            continue
+            raise ValueError(f"the components of population {r.population} have no covariance of full rank")
         inverse = np.linalg.inv(cov)
         d = [F.col(c) - F.lit(r[f"m{i}"]) for i, c in enumerate(components)]
         distance = sum((d[i] * d[j] * float(inverse[i, j]) for i in range(k) for j in range(k)), F.lit(0.0))

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortspark import lineage
 from cohortspark.functions import genetics as G
 from cohortspark.functions import stats
 from cohortspark.functions import tags as T
-from cohortspark.operators import association, index, ldsc, meta, stratify, variables
+from cohortspark.operators import association, hdl, index, ldsc, meta, stratify, variables
+from cohortspark.sources import rmw, tables
 
 from . import inputs as I
 
 Query = Callable[[SparkSession, str], DataFrame]
+#: What effects are divided by: not a round number, so that no value lies half-way between two rounded ones.
+UNIT = 1234567.0
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -96,10 +101,11 @@ def chromosome_axis(spark, d):
     return G.chromosome_table(spark)
 
 
-@query("SELECT * FROM (VALUES ('suggestive', 5.0::DOUBLE), ('genome_wide', 8.0::DOUBLE)) t(line, height)")
+@query(f"""WITH {_OFFSETS}, gap AS (SELECT sum(length) / 500.0::DOUBLE AS g FROM lengths)
+SELECT line, height, CAST(chromosome AS INTEGER) AS chromosome, round(offs + g, 3) AS x_start, round(offs + length + 0.0::DOUBLE - g, 3) AS x_end
+FROM offsets, gap, (VALUES ('suggestive', 5.0::DOUBLE), ('genome_wide', 8.0::DOUBLE)) t(line, height)""")
 def threshold_segments(spark, d):
-    rows = spark.createDataFrame([("suggestive", G.SUGGESTIVE), ("genome_wide", G.GENOME_WIDE)], "line string, p double")
-    return rows.select("line", F.round(-F.log10("p"), 9).alias("height"))
+    return G.threshold_segments(spark).select("line", F.round("height", 9).alias("height"), "chromosome", F.round("x_start", 3).alias("x_start"), F.round("x_end", 3).alias("x_end"))
 
 
 @query(f"""WITH {I.SCORES} SELECT ref, alt, count(*) AS n, CASE WHEN (ref IN ('A', 'T') AND alt IN ('A', 'T')) OR (ref IN ('C', 'G') AND alt IN ('C', 'G')) THEN true ELSE false END AS ambiguous
@@ -125,10 +131,24 @@ def score_chi2(spark, d):
     return I.scores(spark, d).select("chromosome", "position", "sample", G.chi_squared(F.col("u").cast("double"), F.col("v").cast("double")).alias("chi2"))
 
 
-@query()
+def _tail_sql(x: str, df: str) -> str:
+    """Upper tail of chi-squared: one less the lower tail's series, all of whose terms are positive; right to 1e-14, 0 far out."""
+    terms = f"list_sum(list_transform(range(0, 400), lambda k: exp(({df} / 2.0::DOUBLE + k) * ln({x} / 2) - {x} / 2 - lgamma({df} / 2.0::DOUBLE + k + 1))))"
+    return f"CASE WHEN {x} IS NULL OR {df} <= 0 THEN NULL WHEN {x} <= 0 THEN 1.0 WHEN {x} > 250 THEN 0.0 ELSE 1 - {terms} END"
+
+
+def _log10_sql(x: str) -> str:
+    """log10 of the tail with one degree of freedom, by its continued fraction where that is small."""
+    fraction = f"list_reduce(range(200, 0, -1), lambda f, k: 1 + k / {x} / f, 1.0::DOUBLE)"
+    far = f"(-{x} / 2 - 0.5 * ln(pi() * {x} / 2) - ln({fraction})) / ln(10)"
+    return f"CASE WHEN {x} IS NULL THEN NULL WHEN {x} < 8 THEN log10({_tail_sql(x, '1')}) ELSE {far} END"
+
+
+@query(f"""WITH {I.SCORES}, c AS (SELECT chromosome, position, sample, u::DOUBLE * u::DOUBLE / v::DOUBLE / 1e14 AS x FROM scores)
+SELECT chromosome, position, sample, round({_tail_sql("x", "1")}, 10) AS p, round({_log10_sql("x")}, 8) AS log10_p FROM c""")
 def score_pvalue(spark, d):
     rows = score_chi2(spark, d).withColumn("chi2", F.col("chi2") / 1e14)
-    return rows.select("chromosome", "position", "sample", stats.p_value("chi2").alias("r")).select("chromosome", "position", "sample", "r.p", "r.log10_p")
+    return rows.select("chromosome", "position", "sample", stats.p_value("chi2").alias("r")).select("chromosome", "position", "sample", F.round("r.p", 10).alias("p"), F.round("r.log10_p", 8).alias("log10_p"))
 
 
 @query(f"WITH {I.SCORES} SELECT chromosome, position, sample, CASE WHEN v = 1 THEN 0.0 ELSE u::DOUBLE END AS u, CASE WHEN v = 1 THEN 1.0 ELSE (v - 1)::DOUBLE END AS v FROM scores")
@@ -137,9 +157,15 @@ def sentinel_zero_v(spark, d):
     return rows.select("chromosome", "position", "sample", G.valid_score(F.col("u").cast("double"), (F.col("v") - 1).cast("double")).alias("s")).select("chromosome", "position", "sample", "s.u", "s.v")
 
 
-@query(f"""WITH {I.SCORES} SELECT chromosome, study, count(*) AS n, count(r2) AS n_r2, 1 AS hwe, max(d) AS most FROM scores GROUP BY chromosome, study""")
+@query(f"""WITH {I.SCORES}, s AS (SELECT *, u::DOUBLE / 1234567.0::DOUBLE AS su FROM scores)
+SELECT CASE chromosome WHEN 7 THEN '7' ELSE CAST(chromosome AS VARCHAR) END AS "CHROM", position AS "POS", ref AS "REF", alt AS "ALT", sample AS "N_INFORMATIVE", aaf AS "FOUNDER_AF", aaf AS "ALL_AF",
+  CAST(NULL AS DOUBLE) AS "INFORMATIVE_ALT_AC", 1.0::DOUBLE AS "CALL_RATE", 1.0::DOUBLE AS "HWE_PVALUE", 1 AS "N_REF", 1 AS "N_HET", 1 AS "N_ALT",
+  round(su, 6) AS "U_STAT", round(sqrt(v::DOUBLE), 9) AS "SQRT_V_STAT", round(su / v, 9) AS "ALT_EFFSIZE", round({_tail_sql("(su * su / v)", "1")}, 9) AS "PVALUE" FROM s""")
 def export_projection(spark, d):
-    return I.scores(spark, d).groupBy("chromosome", "study").agg(F.count("*").alias("n"), F.count("r2").alias("n_r2"), F.lit(1).alias("hwe"), F.max("d").alias("most"))
+    rows = I.scores(spark, d).select(F.col("chromosome"), "position", "ref", "alt", "aaf", (F.col("u") / UNIT).alias("u"), F.col("v").cast("double").alias("v"), F.col("sample").alias("n"))
+    out = rmw.record(rows)
+    places = {"U_STAT": 6, "SQRT_V_STAT": 9, "ALT_EFFSIZE": 9, "PVALUE": 9}
+    return out.select(*(F.round(c, places[c]).alias(c) if c in places else F.col(c) for c in out.columns))
 
 
 # ---- meta-analysis -----------------------------------------------------------------------------------------
@@ -161,25 +187,33 @@ def _meta(spark, d) -> DataFrame:
     )
 
 
-@query(_META + " SELECT chromosome, position, studies, u::DOUBLE / v::DOUBLE AS effect, 1 / sqrt(v::DOUBLE) AS std_err, u::DOUBLE * u::DOUBLE / v::DOUBLE AS chi2 FROM meta WHERE studies > 1")
+def _effects(spark, d) -> DataFrame:
+    """A row for each marker and study, as a study's score table gives it."""
+    u, v = F.col("u") / UNIT, F.col("v").cast("double")
+    return I.marker_scores(spark, d).select("chromosome", "position", "study", G.effect(u, v).alias("effect"), G.standard_error(v).alias("std_err"), (F.col("d") * 5 / 100.0 / F.col("n")).alias("freq"), "n")
+
+
+def _combined(spark, d) -> DataFrame:
+    return meta.fixed_effect(_effects(spark, d), ["chromosome", "position"], _STUDIES)
+
+
+@query(_META + """ SELECT chromosome, position, studies, round(u::DOUBLE / 1234567.0::DOUBLE / v::DOUBLE, 6) AS effect, round(1 / sqrt(v::DOUBLE), 9) AS std_err, round((u / 1234567.0::DOUBLE) * (u / 1234567.0::DOUBLE) / v::DOUBLE, 5) AS chi2
+FROM meta WHERE studies > 1""")
 def meta_fixed_effect(spark, d):
-    u, v = F.col("u").cast("double"), F.col("v").cast("double")
-    return _meta(spark, d).where("studies > 1").select("chromosome", "position", "studies", G.effect(u, v).alias("effect"), G.standard_error(v).alias("std_err"), G.chi_squared(u, v).alias("chi2"))
+    out = _combined(spark, d).where("het_df > 0")
+    return out.select("chromosome", "position", (F.col("het_df") + 1).alias("studies"), F.round("effect", 6).alias("effect"), F.round("std_err", 9).alias("std_err"), F.round("chi2", 5).alias("chi2"))
 
 
-@query(_META + """, q AS (SELECT m.chromosome, m.position, any_value(m.studies) AS studies, sum(pow(s.u::DOUBLE / s.v - m.u::DOUBLE / m.v, 2) * s.v) AS q
+@query(_META + """, q AS (SELECT m.chromosome, m.position, any_value(m.studies) AS studies, sum(pow((s.u::DOUBLE / s.v - m.u::DOUBLE / m.v) / 1234567.0::DOUBLE, 2) * s.v) AS q
   FROM meta m JOIN markers s ON s.chromosome = m.chromosome AND s.position = m.position GROUP BY 1, 2)
-SELECT chromosome, position, studies - 1 AS het_df, round(q / 1e12, 3) AS het_chisq FROM q WHERE studies > 1""")
+SELECT chromosome, position, studies - 1 AS het_df, round(q, 4) AS het_chisq FROM q WHERE studies > 1""")
 def meta_heterogeneity(spark, d):
-    m = _meta(spark, d).select("chromosome", "position", "studies", (F.col("u").cast("double") / F.col("v")).alias("effect")).where("studies > 1")
-    own = I.marker_scores(spark, d).join(m, ["chromosome", "position"])
-    q = F.sum(F.pow(F.col("u").cast("double") / F.col("v") - F.col("effect"), F.lit(2.0)) * F.col("v"))
-    return own.groupBy("chromosome", "position", (F.col("studies") - 1).alias("het_df")).agg(F.round(q / 1e12, 3).alias("het_chisq"))
+    return _combined(spark, d).where("het_df > 0").select("chromosome", "position", "het_df", F.round("het_chisq", 4).alias("het_chisq"))
 
 
 @query(_META + " SELECT chromosome, position, direction, CAST(length(direction) - length(replace(replace(replace(direction, '+', ''), '-', ''), '0', '')) AS INTEGER) AS present FROM meta")
 def meta_direction(spark, d):
-    return _meta(spark, d).select("chromosome", "position", "direction", G.studies_present(F.col("direction")).alias("present"))
+    return _combined(spark, d).select("chromosome", "position", "direction", G.studies_present(F.col("direction")).alias("present"))
 
 
 @query(_META + """ SELECT chromosome, position, sample_count, direction FROM meta WHERE 2 * sample_count > (SELECT max(sample_count) FROM meta)
@@ -190,15 +224,31 @@ def meta_qc_filter(spark, d):
     return meta.quality_filter(m, present_only=True).select("chromosome", "position", "sample_count", "direction")
 
 
-@query()
+_FULL = f"""WITH {I.SCORES}, {I.MARKERS}, e AS (
+  SELECT chromosome, position, study, u::DOUBLE / 1234567.0::DOUBLE / v AS b, v::DOUBLE AS w, CASE WHEN study % 2 = 0 THEN d * 5 / 100.0::DOUBLE / n ELSE 1 - d * 5 / 100.0::DOUBLE / n END AS f, n,
+    CASE WHEN study % 2 = 0 THEN 1 ELSE -1 END AS turn FROM markers
+), a AS (SELECT *, turn * b AS t FROM e), g AS (
+  SELECT chromosome, position, count(*) - 1 AS het_df, sum(w * t) / sum(w) AS effect, 1 / sqrt(sum(w)) AS std_err, CAST(sum(n) AS BIGINT) AS sample_count, sum(n * f) / sum(n) AS freq1,
+    sum(n * f * f) / sum(n) AS ff, min(f) AS min_freq, max(f) AS max_freq, {" || ".join(f"coalesce(max(CASE WHEN study = {s} THEN CASE WHEN t > 0 THEN '+' WHEN t < 0 THEN '-' ELSE '0' END END), '?')" for s in _STUDIES)} AS direction
+  FROM a GROUP BY chromosome, position
+), h AS (
+  SELECT g.chromosome, g.position, sum(w * pow(t - effect, 2)) AS q FROM a JOIN g ON g.chromosome = a.chromosome AND g.position = a.position GROUP BY 1, 2
+), r AS (SELECT g.*, q, pow(effect / std_err, 2) AS x FROM g JOIN h ON h.chromosome = g.chromosome AND h.position = g.position)
+SELECT chromosome, position, 'a' AS allele1, 'c' AS allele2, round(freq1, 9) AS freq1, round(sqrt(greatest(ff - freq1 * freq1, 0)), 4) AS freq_se, round(min_freq, 9) AS min_freq, round(max_freq, 9) AS max_freq,
+  round(effect, 6) AS effect, round(std_err, 9) AS std_err, round(x, 5) AS chi2, direction, CASE WHEN het_df = 0 THEN 0.0 ELSE round(100 * greatest(0, (q - het_df) / q), 3) END AS het_isq, round(q, 4) AS het_chisq,
+  het_df, sample_count, round({_tail_sql("(CASE WHEN het_df = 0 THEN NULL ELSE q END)", "het_df")}, 6) AS het_p_value, round({_tail_sql("x", "1")}, 8) AS p_value, round({_log10_sql("x")}, 5) AS log10_p FROM r"""
+
+
+@query(_FULL)
 def meta_full(spark, d):
-    """All output columns, from single-study effects by the general operator."""
-    m = I.marker_scores(spark, d)
-    u, v = F.col("u").cast("double") / 1e8, F.col("v").cast("double")
-    rows = m.select("chromosome", "position", "study", F.when(F.col("study") % 2 == 0, "A").otherwise("C").alias("ref"), F.when(F.col("study") % 2 == 0, "C").otherwise("A").alias("alt"), G.effect(u, v).alias("effect"), G.standard_error(v).alias("std_err"), (F.col("d") * 5 / 100.0 / F.col("n")).alias("freq"), "n")
+    """All output columns, from single-study effects by the general operator; odd studies name the alleles the other way."""
+    even = F.col("study") % 2 == 0
+    rows = _effects(spark, d).withColumns({"ref": F.when(even, "A").otherwise("C"), "alt": F.when(even, "C").otherwise("A")})
     out = meta.fixed_effect(meta.align_alleles(rows), ["chromosome", "position", "allele1", "allele2"], _STUDIES)
-    p = out.select("*", stats.p_value("chi2").alias("_p"), stats.chi2_tail("het_chisq", "het_df").alias("het_p_value"))
-    return p.withColumns({"p_value": F.col("_p.p"), "log10_p": F.col("_p.log10_p")}).drop("_p")
+    out = out.select("*", stats.p_value("chi2").alias("_p"), stats.chi2_tail("het_chisq", "het_df").alias("het_p_value"))
+    out = out.withColumns({"p_value": F.col("_p.p"), "log10_p": F.col("_p.log10_p"), "het_isq": F.when(F.col("het_df") == 0, 0.0).otherwise(F.col("het_isq")), "het_chisq": F.when(F.col("het_df") == 0, 0.0).otherwise(F.col("het_chisq"))}).drop("_p")
+    places = {"freq1": 9, "freq_se": 4, "min_freq": 9, "max_freq": 9, "effect": 6, "std_err": 9, "chi2": 5, "het_isq": 3, "het_chisq": 4, "het_p_value": 6, "p_value": 8, "log10_p": 5}
+    return out.select(*(F.round(c, places[c]).alias(c) if c in places else F.col(c) for c in out.columns))
 
 
 @query(f"""WITH {I.SCORES}, s AS (SELECT study, u::DOUBLE / v AS beta FROM scores WHERE d <> 5)
@@ -217,9 +267,12 @@ def _panel(spark, d) -> DataFrame:
     return I.table(spark, d, "part").where(k % 4 != 0).select(k.alias("position"), F.when(k % 3 == 0, F.concat(F.lit("rs"), k.cast("string"))).otherwise(F.concat(k.cast("string"), F.lit(":x"))).alias("id"), "p_size")
 
 
-@query(_META + f", {_PANEL} SELECT chromosome, m.position, id, p_size FROM meta m LEFT JOIN panel p ON p.position = m.position")
+@query(_META + f", {_PANEL} SELECT chromosome, m.position, id, CAST(p_size AS DOUBLE) AS p_size FROM meta m LEFT JOIN panel p ON p.position = m.position")
 def legend_left_join(spark, d):
-    return _meta(spark, d).select("chromosome", "position").join(_panel(spark, d), "position", "left").select("chromosome", "position", "id", "p_size")
+    marker = F.col("position").cast("string").alias("marker_name")
+    legends = _panel(spark, d).select(marker, F.col("id").alias("rsid"), F.col("p_size").cast("double").alias("all.aaf"))
+    out = meta.legend_join(_meta(spark, d).select("chromosome", "position", marker), legends, "none.aaf", fallback="all.aaf")
+    return out.select("chromosome", "position", F.col("rsid").alias("id"), F.col("panel_freq").alias("p_size"))
 
 
 @query(f"WITH {I.SCORES}, {_PANEL} SELECT DISTINCT s.chromosome, s.position, p.id FROM scores s JOIN panel p ON p.position = s.position WHERE p.id LIKE 'rs%'")
@@ -258,7 +311,7 @@ def qq_points(spark, d):
 @query(_META + f" SELECT quantile_cont(u::DOUBLE * u::DOUBLE / v::DOUBLE, 0.5) / {stats.CHI2_MEDIAN!r} AS lambda_gc FROM meta")
 def lambda_gc(spark, d):
     u, v = F.col("u").cast("double"), F.col("v").cast("double")
-    return _meta(spark, d).agg(stats.lambda_gc(G.chi_squared(u, v)).alias("lambda_gc"))
+    return variables.lambda_gc(_meta(spark, d).select(G.chi_squared(u, v).alias("chi2")))
 
 
 @query(f"""WITH {I.SCORES}, {_OFFSETS} SELECT s.chromosome, s.position + o.offs AS x, sample, u::DOUBLE * u::DOUBLE / v::DOUBLE AS chi2 FROM scores s JOIN offsets o ON o.chromosome = s.chromosome
@@ -272,16 +325,20 @@ def manhattan_points(spark, d):
 @query(f"""WITH {I.SCORES}, s AS (SELECT study, chromosome, count(*) AS n, quantile_cont(1 / sqrt(v::DOUBLE), 0.5) AS se FROM scores GROUP BY 1, 2)
 SELECT round(regr_slope(1 / se, sqrt(n)), 6) AS slope, round(regr_intercept(1 / se, sqrt(n)), 5) AS intercept FROM s""")
 def se_n_regression(spark, d):
-    s = I.scores(spark, d).groupBy("study", "chromosome").agg(F.count("*").alias("n"), F.percentile(1 / F.sqrt(F.col("v").cast("double")), F.lit(0.5)).alias("se"))
-    return s.agg(F.round(F.regr_slope(1 / F.col("se"), F.sqrt("n")), 6).alias("slope"), F.round(F.regr_intercept(1 / F.col("se"), F.sqrt("n")), 5).alias("intercept"))
+    return meta.se_n_fit(meta.se_n(I.scores(spark, d).select("study", "chromosome", (1 / F.sqrt(F.col("v").cast("double"))).alias("std_err")), "study", "chromosome")).select(F.round("slope", 6).alias("slope"), F.round("intercept", 5).alias("intercept"))
 
 
-@query(f"""WITH {I.SCORES} SELECT sample, position, CASE WHEN ref = 'A' THEN 1.0 ELSE -1.0 END * d / sqrt(v) AS effect FROM scores WHERE chromosome = 1
-UNION ALL SELECT -1 - p_partkey, p_partkey, 0.0 FROM part WHERE p_partkey NOT IN (SELECT position FROM scores WHERE chromosome = 1)""")
+@query(f"""WITH {I.SCORES}, {I.MARKERS}, z AS (SELECT chromosome || '-' || study AS phenotype, position, d::DOUBLE AS z, v::DOUBLE AS n, CASE WHEN (position + study) % 2 = 0 THEN 'A' ELSE 'G' END AS allele FROM markers),
+names AS (SELECT DISTINCT phenotype FROM z), wanted AS (SELECT p_partkey % 10 AS piece, p_partkey AS ord, 'rs' || p_partkey AS snp, phenotype FROM part, names)
+SELECT CAST(piece AS INTEGER) AS piece, ord, snp, w.phenotype, round(coalesce(CASE WHEN allele = 'A' THEN 1.0 ELSE -1.0 END * z / sqrt(n), 0.0), 9) AS effect FROM wanted w LEFT JOIN z ON z.phenotype = w.phenotype AND z.position = w.ord""")
 def marginal_effects(spark, d):
-    rows = I.scores(spark, d).where("chromosome = 1").select("sample", "position", F.col("d").cast("double").alias("z"), F.col("v").cast("double").alias("n"), "ref")
-    all_ = I.table(spark, d, "part").select(F.col("p_partkey").alias("position")).join(rows, "position", "left")
-    return all_.select(F.coalesce("sample", -1 - F.col("position")).alias("sample"), "position", G.marginal_effect(F.col("z"), F.col("n"), F.col("ref"), F.lit("A")).alias("effect"))
+    key = F.col("p_partkey")
+    name = F.concat(F.lit("rs"), key.cast("string"))
+    reference = I.table(spark, d, "part").select((key % 10).cast("int").alias("piece"), key.alias("ord"), name.alias("snp"), F.lit("A").alias("ref_allele"))
+    m = I.marker_scores(spark, d)
+    allele = F.when((F.col("position") + F.col("study")) % 2 == 0, "A").otherwise("G")
+    z = m.select(F.concat_ws("-", "chromosome", "study").alias("phenotype"), F.concat(F.lit("rs"), F.col("position").cast("string")).alias("snp"), F.col("d").cast("double").alias("z"), F.col("v").cast("double").alias("n"), allele.alias("allele"))
+    return hdl.marginal_effects(reference, z).select("piece", "ord", "snp", "phenotype", F.round("effect", 9).alias("effect"))
 
 
 @query(f"""WITH {I.SCORES}, s AS (SELECT study, position % 20 AS block, d::DOUBLE AS ld, v::DOUBLE AS chi2 FROM scores),
@@ -403,39 +460,67 @@ def allele_frequency_by_collection(spark, d):
     return I.dosages(spark, d).select("vec_id", *((association.allele_frequency(whole, mask(k)) / 10000).alias(n) for n, k in (("even_aaf", 2), ("fourth_aaf", 4))))
 
 
-_GRAM = f"""WITH {I.DOSAGES}, c AS (SELECT vec_id, chromosome, unnest(q[1:8]) AS x, unnest(range(0, 8)) AS i FROM dosages),
-gram AS (SELECT l.chromosome, l.i, r.i AS j, CAST(sum(l.x * r.x) AS BIGINT) AS g FROM c l JOIN c r ON l.vec_id = r.vec_id AND l.i <= r.i GROUP BY 1, 2, 3)"""
+_STANDARD = f"""WITH {I.DOSAGES}, f AS (SELECT *, list_sum(q)::DOUBLE / len(q) / 10000 AS mean FROM dosages),
+c AS (SELECT vec_id, chromosome, unnest(list_transform(q, lambda x: (x / 10000.0::DOUBLE - mean) / sqrt(mean * (1 - mean / 2)))) AS z, unnest(range(0, len(q))) AS i FROM f),
+gram AS (SELECT l.chromosome, l.i, r.i AS j, sum(l.z * r.z) AS g FROM c l JOIN c r ON l.vec_id = r.vec_id GROUP BY 1, 2, 3)"""
 
 
-def _gram(spark, d) -> DataFrame:
-    """Products of the first eight samples' dosages, by chromosome, as exact whole numbers."""
-    first = I.dosages(spark, d).select("chromosome", F.slice("q", 1, 8).alias("q"))
-    sums = [F.sum(F.col("q")[i] * F.col("q")[j]).alias(f"g{i}_{j}") for i in range(8) for j in range(i, 8)]
-    one = first.groupBy("chromosome").agg(*sums)
-    cells = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"g{i}_{j}").alias("g")) for i in range(8) for j in range(i, 8)))
-    return one.select("chromosome", F.explode(cells).alias("c")).select("chromosome", F.col("c.i").cast("bigint").alias("i"), F.col("c.j").cast("bigint").alias("j"), "c.g")
+def _cells(rows: DataFrame) -> DataFrame:
+    return rows.select("chromosome", "i", F.posexplode("values").alias("j", "g")).select("chromosome", "i", F.col("j").cast("bigint").alias("j"), F.round("g", 6).alias("g"))
 
 
-@query(_GRAM + " SELECT chromosome, i, j, g FROM gram")
+@query(_STANDARD + " SELECT chromosome, i, j, round(g, 6) AS g FROM gram")
 def gram_by_chromosome(spark, d):
-    return _gram(spark, d)
+    return _cells(association.gram(I.dosages(spark, d)))
 
 
-@query(_GRAM + " SELECT chromosome, i, j, CAST(sum(g) OVER (PARTITION BY i, j) - g AS BIGINT) AS g FROM gram WHERE chromosome <> 23")
+@query(_STANDARD + " SELECT chromosome, i, j, round(sum(g) OVER (PARTITION BY i, j) - g, 6) AS g FROM gram WHERE chromosome <> 23")
 def gram_loco(spark, d):
-    g = _gram(spark, d).where("chromosome <> 23")
-    total = g.groupBy("i", "j").agg(F.sum("g").alias("t"))
-    return g.join(F.broadcast(total), ["i", "j"]).select("chromosome", "i", "j", (F.col("t") - F.col("g")).alias("g"))
+    return _cells(association.leave_one_out(association.gram(I.dosages(spark, d))))
+
 
+@query(_STANDARD + " SELECT chromosome, i, j, round(g, 6) AS g FROM gram")
+def kinship_triangular(spark, d):
+    """R'R of the triangular factors, which is the matrix itself."""
+    r = association.triangular(I.dosages(spark, d)).select("chromosome", "i", F.posexplode("values").alias("j", "x"))
+    both = r.toDF("chromosome", "k", "i", "x").join(r.toDF("chromosome", "k", "j", "y"), ["chromosome", "k"])
+    cells = both.groupBy("chromosome", F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"))
+    return cells.agg(F.round(F.sum(F.col("x") * F.col("y")), 6).alias("g"))
+
+
+#: Fixed null models for score tests: weights of 3 phenotypes, eigenvectors and variances of 4 coordinates.
+_W = "((i + p) % 7 - 3)"
+_Q = "((i * (k + 1)) % 5 - 2)"
+_V = "((k + 1) * (p + 2) * 1.1::DOUBLE)"
 
-@query(f"""WITH {I.DOSAGES}, s AS (SELECT vec_id, chromosome, list_sum(list_transform(q, lambda x, i: x * (i % 7 - 3))) AS gw, list_sum(q) AS g, list_sum(list_transform(q, lambda x, i: i % 7 - 3)) AS w, len(q) AS n FROM dosages)
-SELECT vec_id, chromosome, CAST(gw * n - g * w AS BIGINT) AS u FROM s""")
+
+@query(f"""WITH {I.DOSAGES}, s AS (SELECT vec_id, chromosome, q AS g, list_sum(q) AS t, len(q) AS n FROM dosages), m AS (SELECT * FROM s, (SELECT unnest(range(0, 3)) AS p)),
+u AS (SELECT *, list_sum(list_transform(g, lambda x, i0: x * {_W.replace("i ", "(i0 - 1) ")})) * n - t * list_sum(list_transform(range(0, n), lambda i: {_W})) AS nu FROM m)
+SELECT vec_id, chromosome, 'p' || p AS phenotype, CAST(nu AS BIGINT) AS u FROM u""")
 def score_u_closed_form(spark, d):
-    """U = g w - mean(g) sum(w), times the sample count, with whole-number weights."""
-    total = lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda s, x: s + x)
-    w = F.transform("q", lambda x, i: ((i + 1) % 7 - 3).cast("bigint"))
-    gw = total(F.transform("q", lambda x, i: x * ((i + 1) % 7 - 3)))
-    return I.dosages(spark, d).select("vec_id", "chromosome", (gw * F.size("q") - total(F.col("q")) * total(w)).alias("u"))
+    """U = g w - mean(g) sum(w), times the sample count: a whole number."""
+    out = _score_test(spark, d, F.transform("q", lambda x: x.cast("double")))
+    return out.select("vec_id", "chromosome", "phenotype", F.round(F.col("u") * 64).cast("bigint").alias("u"))
+
+
+@query(f"""WITH {I.DOSAGES}, s AS (SELECT vec_id, chromosome, list_transform(q, lambda x: x / 10000.0::DOUBLE - list_sum(q)::DOUBLE / len(q) / 10000) AS g FROM dosages),
+m AS (SELECT vec_id, chromosome, p, list_sum(list_transform(g, lambda x, i0: x * {_W.replace("i ", "(i0 - 1) ")})) AS u,
+  list_sum(list_transform(range(0, 4), lambda k: pow(list_sum(list_transform(g, lambda x, i0: x * {_Q.replace("i ", "(i0 - 1) ")})), 2) / {_V})) AS v FROM s, (SELECT unnest(range(0, 3)) AS p))
+SELECT vec_id, chromosome, 'p' || p AS phenotype, round(u, 10) AS u, round(v, 7) AS v FROM m""")
+def score_test_mixed(spark, d):
+    """Score statistics of every variant under fixed null models of three phenotypes."""
+    out = _score_test(spark, d, F.col("dosages"))
+    return out.select("vec_id", "chromosome", "phenotype", F.round("u", 10).alias("u"), F.round("v", 7).alias("v"))
+
+
+def _score_test(spark, d, dosages) -> DataFrame:
+    import numpy as np
+
+    i, k, p = np.arange(64), np.arange(4), np.arange(3)
+    w = ((i[:, None] + p) % 7 - 3).astype(float)
+    q = ((i[:, None] * (k + 1)) % 5 - 2).astype(float)
+    v = (k[:, None] + 1) * (p + 2) * 1.1
+    return association.score_block(I.dosages(spark, d).withColumn("dosages", dosages), w, q, v, ["p0", "p1", "p2"], ["vec_id", "chromosome"])
 
 
 @query(f"WITH {I.DOSAGES} SELECT vec_id, list_transform([63, 0, 31, 7], lambda i: q[i + 1]) AS chosen FROM dosages WHERE chromosome <> 3 AND chromosome <> 23")
@@ -528,8 +613,6 @@ def phenotype_pairs(spark, d):
 @query("""SELECT a.n_name AS phenotype1, b.n_name AS phenotype2, CAST(r_regionkey AS SMALLINT) AS piecewise_index FROM nation a JOIN nation b ON a.n_name <= b.n_name CROSS JOIN region
 WHERE NOT (a.n_nationkey % 2 = 0 AND a.n_name = b.n_name)""")
 def resume_anti_join(spark, d):
-    from cohortspark.operators import hdl
-
     nation = I.table(spark, d, "nation")
     pieces = I.table(spark, d, "region").select(F.col("r_regionkey").alias("piece"))
     phenotypes = nation.select(F.col("n_name").alias("phenotype"))
@@ -575,10 +658,14 @@ def masked_phenotypes(spark, d):
     return stratify.masked(c, classes, "balance_low", classes.where("variable = 'balance' and class = 'low'"), ["cents"])
 
 
-@query()
+@query("""WITH e AS (SELECT vec_id AS sample, CAST(label AS VARCHAR) AS population, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings),
+r AS (SELECT population, avg(x) AS mx, avg(y) AS my, var_samp(x) AS xx, covar_samp(x, y) AS xy, var_samp(y) AS yy FROM e WHERE sample % 3 = 0 GROUP BY population),
+d AS (SELECT sample, r.population, (x - mx) AS a, (y - my) AS b, xx, xy, yy, xx * yy - xy * xy AS det FROM e, r)
+SELECT sample, population FROM d WHERE -0.5 * ((yy * a * a - 2 * xy * a * b + xx * b * b) / det + ln(det) + 2 * ln(2 * pi())) > -0.5 * 4 - 0.5 * ln(2 * pi())""")
 def population_membership(spark, d):
-    e = I.table(spark, d, "embeddings").select(F.col("vec_id").alias("sample"), F.col("label").cast("string").alias("population"), *(F.col("embedding")[i].cast("double").alias(f"C{i + 1}") for i in range(4)))
-    return stratify.membership(e.select("sample", "C1", "C2", "C3", "C4"), e.where("sample % 3 = 0"), ["C1", "C2", "C3", "C4"], deviations=2.0)
+    """By two components, whose covariances are not diagonal; any number of components works alike."""
+    e = I.table(spark, d, "embeddings").select(F.col("vec_id").alias("sample"), F.col("label").cast("string").alias("population"), *(F.col("embedding")[i].cast("double").alias(f"C{i + 1}") for i in range(2)))
+    return stratify.membership(e.select("sample", "C1", "C2"), e.where("sample % 3 = 0"), ["C1", "C2"], deviations=2.0)
 
 
 @query("""SELECT n_nationkey, n_name || '_' || n_regionkey AS both_with_underscore, n_regionkey || '_' || n_regionkey AS double_iid, lower(regexp_replace(regexp_replace(trim(n_name), 'A+', '-', 'g'), '[^\\p{L}\\p{N}]', '', 'g')) AS renamed FROM nation""")
@@ -601,16 +688,18 @@ def sample_id_match(spark, d):
 # ---- reshaping and text ------------------------------------------------------------------------------------
 
 
-@query(f"""WITH {I.SCORES}, s AS (SELECT sample, chromosome, position, u, v, d FROM scores WHERE study = 1) SELECT * FROM (UNPIVOT s ON u, v, d INTO NAME "column" VALUE value)""")
+@query(f"""WITH {I.SCORES}, s AS (SELECT sample, chromosome, position, study, u, v, d FROM scores) SELECT * FROM (UNPIVOT s ON u, v, d INTO NAME "column" VALUE value)""")
 def wide_to_long_transpose(spark, d):
-    s = I.scores(spark, d).where("study = 1").select("sample", "chromosome", "position", "u", "v", "d")
-    return s.unpivot(["sample", "chromosome", "position"], ["u", "v", "d"], "column", "value")
+    path = f"{lineage.shared_dir(spark)}/transposed-{uuid.uuid4().hex}"
+    keys = ["sample", "chromosome", "position", "study"]
+    tables.transpose(I.scores(spark, d).select(*keys, "u", "v", "d"), keys, ["u", "v", "d"], path)
+    return spark.read.parquet(path)
 
 
-@query("SELECT c_custkey, c_name, c_nationkey FROM customer EXCEPT ALL SELECT c_custkey, c_name, c_nationkey FROM customer WHERE c_custkey % 10 <> 0")
+@query("SELECT c_custkey, c_name, c_nationkey FROM customer")
 def convert_verify(spark, d):
-    c = I.table(spark, d, "customer").drop("c_acctbal", "c_mktsegment")
-    return c.exceptAll(c.where("c_custkey % 10 <> 0"))
+    path = f"{lineage.shared_dir(spark)}/converted-{uuid.uuid4().hex}"
+    return tables.convert(I.table(spark, d, "customer"), path, dropped={"c_acctbal", "c_mktsegment"})
 
 
 @query("SELECT DISTINCT event_type, lower(regexp_replace(event_type || 'CountN', '([a-z\\d])([A-Z])', '\\1_\\2', 'g')) AS snake FROM events")
@@ -634,11 +723,12 @@ def _cohort(spark, d):
 
     from cohortspark.operators import nullmodel
 
-    g = association.gram(I.dosages(spark, d))
-    total = g.select("i", F.posexplode("values").alias("j", "x")).groupBy("i", "j").agg(F.sum("x").alias("x"))
-    total = total.groupBy("i").agg(F.transform(F.array_sort(F.collect_list(F.struct("j", "x"))), lambda c: c["x"]).alias("values"))
-    n = g.groupBy("chromosome", "n_variants").count().agg(F.sum("n_variants")).head()[0]
-    lam, q = nullmodel.eigen(association.collect_matrix(total) / n + 1e-3 * np.eye(64))
+    g = association.gram(I.dosages(spark, d)).collect()  # samples**2 numbers a chromosome
+    total = np.zeros((64, 64))
+    for r in g:
+        total[r.i] += r["values"]
+    n = sum({r.chromosome: r.n_variants for r in g}.values())
+    lam, q = nullmodel.eigen(total / n + 1e-3 * np.eye(64))
     x = np.column_stack([np.ones(64), np.linspace(-1, 1, 64), np.sin(np.arange(64))])
     y = I.dosages(spark, d).select(F.lit("all").alias("collection"), F.col("vec_id").cast("string").alias("phenotype"), F.col("dosages").alias("y"))
     return y, lam, q, x
@@ -660,22 +750,8 @@ for _m in ("fastlmm", "pml", "mpl", "reml", "ml"):
 
 
 @query()
-def kinship_by_chromosome(spark, d):
-    return association.gram(I.dosages(spark, d))
-
-
-@query()
-def kinship_loco(spark, d):
-    return association.leave_one_out(association.gram(I.dosages(spark, d)))
-
-
-@query()
-def kinship_triangular(spark, d):
-    return association.triangular(I.dosages(spark, d))
-
-
-@query()
-def score_test_mixed(spark, d):
+def score_test_fitted(spark, d):
+    """Score statistics of every variant with every vector as a phenotype, under their fitted null models."""
     import numpy as np
 
     from cohortspark.operators import nullmodel
@@ -691,8 +767,6 @@ def _hdl(spark, d, step: str) -> DataFrame:
     """Pairs of all labels: the phenotypes are the labels' mean vectors over every row, in all components."""
     import numpy as np
 
-    from cohortspark.operators import hdl
-
     rng = np.random.Generator(np.random.PCG64(3))
     rows = [(p, rng.uniform(0.2, 3.0, 64).tolist(), np.linalg.qr(rng.normal(size=(64, 64)))[0].tolist()) for p in range(3)]
     pieces = spark.createDataFrame(rows, "piece int, lam array<double>, vectors array<array<double>>")
@@ -701,7 +775,7 @@ def _hdl(spark, d, step: str) -> DataFrame:
     effects = pieces.select("piece").crossJoin(b).select("piece", "ord", F.lit("").alias("snp"), "phenotype", (F.col("z").cast("double") / 10).alias("effect"))
     counts = b.groupBy("phenotype").agg(F.lit(900.0).alias("n_min"), F.lit(1000.0).alias("n_median"))
     todo = hdl.jobs(b.select("phenotype").distinct(), pieces, step)
-    return hdl.estimate(hdl.rotate(effects, pieces), counts, todo, parallel=8)
+    return hdl.estimate(hdl.rotate(effects, pieces), counts, todo, group=4)
 
 
 @query()

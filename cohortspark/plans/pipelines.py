@@ -6,12 +6,14 @@ another; everything with a row for each variant stays distributed.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortspark import lineage
 from cohortspark.functions import genetics as G
 from cohortspark.functions import stats
 from cohortspark.operators import association, hdl, index, meta, nullmodel, stratify, variables
@@ -46,9 +48,10 @@ class ScoreOptions:
 def load_genotypes(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, list[str]]:
     """Variants of all files with the dosages of the samples that every file has, in the first file's order."""
     found = [vcf.read_vcf(spark, p) for p in paths]
-    for df, _ in found:
-        vcf.check_chromosome(df)
-    common = [s for s in found[0][1] if all(s in set(other) for _, other in found[1:])]
+    for (df, _), path in zip(found, paths, strict=True):
+        vcf.check_chromosome(df, path)
+    others = [set(s) for _, s in found[1:]]
+    common = [s for s in found[0][1] if all(s in o for o in others)]
     if not common:
         raise ValueError("the files have no sample in common")
     out = None
@@ -56,7 +59,7 @@ def load_genotypes(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, li
         place = {s: i for i, s in enumerate(samples)}
         chosen = [place[s] for s in common]
         if chosen != list(range(len(samples))):
-            df = df.withColumn("dosages", association.select_samples(F.col("dosages"), chosen))
+            df = association.take_samples(df, np.array(chosen))
         out = df if out is None else out.unionByName(df)
     return out, common
 
@@ -90,47 +93,62 @@ def collections(phenotypes: DataFrame, covariates: DataFrame, samples: list[str]
 
 def with_frequencies(variants: DataFrame, samples: list[str], groups: list[Collection]) -> DataFrame:
     """Adds the allele frequency of all samples and of each collection."""
-    out = variants.withColumn("aaf", association.allele_frequency(F.col("dosages")))
-    for c in groups:
-        inside = set(c.samples)
-        mask = F.array(*(F.lit(s in inside) for s in samples))
-        out = out.withColumn(f"{c.name}_aaf", association.allele_frequency(F.col("dosages"), mask))
-    return out
+    place = {s: i for i, s in enumerate(samples)}
+    members = {"aaf": np.arange(len(samples))} | {f"{c.name}_aaf": np.array([place[s] for s in c.samples]) for c in groups}
+    return association.frequencies(variants.drop("aaf"), members)
 
 
 def score(spark: SparkSession, vcf_paths: list[str], phenotype_paths: list[str], covariate_paths: list[str], options: ScoreOptions | None = None) -> dict[str, DataFrame]:
-    """Association of every variant with every phenotype: scores, null_models, covariance, summaries."""
+    """Association of every variant with every phenotype: scores, null_models, covariance, summaries.
+
+    The files are parsed once, into a table by chromosome with all frequencies; one scan of it gives the relatedness of
+    every chromosome, which is collected once, and one scan of each chromosome scores all collections. The scores of all
+    chromosomes are one DataFrame, whose parts run at the same time.
+    """
     o = options or ScoreOptions()
     variants, samples = load_genotypes(spark, vcf_paths)
     phenotypes, covariates = tables.read_variables(spark, phenotype_paths), tables.read_variables(spark, covariate_paths)
     groups = collections(phenotypes, covariates, samples, o.missing)
     place = {s: i for i, s in enumerate(samples)}
-    frequencies = with_frequencies(variants, samples, groups)
+    path = f"{lineage.shared_dir(spark)}/variants-{uuid.uuid4().hex}"
+    parsed = with_frequencies(variants, samples, groups)
+    parsed.write.partitionBy("chromosome").option("compression", "zstd").parquet(path)
+    parsed = spark.read.schema(parsed.schema).parquet(path)
     columns = [F.col("aaf"), *(F.col(f"{c.name}_aaf") for c in groups)]
-    kin = frequencies.where(G.variant_mask(columns, F.col("r2"), o.kinship_maf, o.kinship_r2, "min")).where(F.col("chromosome") != 23)
-    grams = association.gram(kin)
-    own = {r.chromosome: r.n for r in grams.groupBy("chromosome").agg(F.max("n_variants").alias("n")).collect()}
-    matrices = {c: association.collect_matrix(grams.where(F.col("chromosome") == c)) for c in own}
+    kin = parsed.where(G.variant_mask(columns, F.col("r2"), o.kinship_maf, o.kinship_r2, "min")).where(F.col("chromosome") != 23)
+    grams = lineage.written(association.gram(kin), "kinship")
+    own: dict[int, int] = {}
+    matrices: dict[int, np.ndarray] = {}
+    for r in grams.collect():  # samples**2 numbers a chromosome, whatever the number of variants
+        own[r.chromosome] = r.n_variants
+        matrices.setdefault(r.chromosome, np.zeros((len(samples), len(samples))))[r.i] = r["values"]
     total, count = sum(matrices.values()), sum(own.values())
-    chosen = o.chromosomes or [r.chromosome for r in variants.select("chromosome").distinct().orderBy("chromosome").collect()]
+    chosen = o.chromosomes or [r.chromosome for r in parsed.select("chromosome").distinct().orderBy("chromosome").collect()]
     scores, models = None, None
     keep = ["chromosome", "position", "ref", "alt", "is_imputed", "r2"]
     for chromosome in chosen:
         rest, m = total - matrices.get(chromosome, 0), count - own.get(chromosome, 0)
-        for c in groups:
-            rows = np.array([place[s] for s in c.samples])
-            lam, q = nullmodel.subset(rest, max(m, 1), rows)
-            y = spark.createDataFrame([(c.name, p, c.y[:, j].tolist()) for j, p in enumerate(c.phenotypes)], "collection string, phenotype string, y array<double>")
-            fits = nullmodel.fit_all(y, {c.name: (lam, q)}, {c.name: c.x}, o.method, partitions=min(64, len(c.phenotypes))).withColumn("chromosome", F.lit(chromosome))
-            models = fits if models is None else models.unionByName(fits)
-            got = [r for r in fits.where("variance is not null").collect()]
-            if not got:
-                continue
-            r, v = (np.array([f[name] for f in got]).T for name in ("residuals", "variance"))
-            mine = frequencies.where(F.col("chromosome") == chromosome).where(G.variant_mask(columns, F.col("r2"), o.score_maf, o.score_r2))
-            mine = mine.withColumn("dosages", association.select_samples(F.col("dosages"), rows.tolist())).select(*keep, F.col(f"{c.name}_aaf").alias("aaf"), "dosages")
-            part = association.score_block(mine, nullmodel.score_weights(q, r, v), q, v, [f.phenotype for f in got], [*keep, "aaf"]).withColumn("collection", F.lit(c.name))
-            scores = part if scores is None else scores.unionByName(part)
+        at = {c.name: np.array([place[s] for s in c.samples]) for c in groups}
+        eigens = {c.name: nullmodel.subset(rest, max(m, 1), at[c.name]) for c in groups}
+        y = spark.createDataFrame([(c.name, p, c.y[:, j].tolist()) for c in groups for j, p in enumerate(c.phenotypes)], "collection string, phenotype string, y array<double>")
+        fits = nullmodel.fit_all(y, eigens, {c.name: c.x for c in groups}, o.method, partitions=min(64, sum(len(c.phenotypes) for c in groups)))
+        fits = lineage.written(fits.withColumn("chromosome", F.lit(chromosome)), "null-models")
+        models = fits if models is None else models.unionByName(fits)
+        found: dict[str, list] = {}
+        for f in fits.where("variance is not null").orderBy("phenotype").collect():
+            found.setdefault(f.collection, []).append(f)
+        weights = {}
+        for name, got in found.items():
+            r, v = (np.array([f[x] for f in got]).T for x in ("residuals", "variance"))
+            q = eigens[name][1]
+            weights[name] = (at[name], nullmodel.score_weights(q, r, v), q, v, [f.phenotype for f in got])
+        if not weights:
+            continue
+        mine = parsed.where(F.col("chromosome") == chromosome).where(G.variant_mask(columns, F.col("r2"), o.score_maf, o.score_r2))
+        part = association.score_blocks(mine, weights, [*keep, *(f"{n}_aaf" for n in weights)])
+        own_aaf = F.coalesce(*(F.when(F.col("collection") == n, F.col(f"{n}_aaf")) for n in weights))
+        part = part.select(*keep, own_aaf.alias("aaf"), "collection", "phenotype", "u", "v")
+        scores = part if scores is None else scores.unionByName(part)
     long = tables.long_form(phenotypes.join(covariates, "sample_id", "full"), [c for c in [*phenotypes.columns, *covariates.columns] if c != "sample_id"])
     return {"scores": scores, "null_models": models, "covariance": variables.covariance(long), "summaries": variables.summaries(long, "variable"), "kinship": grams}
 
@@ -217,15 +235,20 @@ def plot_data(scores: DataFrame, maf: float = 0.005, r2: float = 0.5) -> dict[st
     kept = scores.where(G.variant_mask([F.col("aaf")], F.col("r2"), maf, r2)).where(u.isNotNull() & ~G.is_close(u, 0.0))
     chi2 = kept.withColumn("chi2", G.chi_squared(u, v))
     points = chi2.select("chromosome", G.genome_position(F.col("chromosome"), F.col("position")).alias("x"), (-stats.p_value("chi2")["log10_p"]).alias("y"))
-    return {"manhattan": points, "qq": meta.qq_points(chi2.select("chi2")), "inflation": chi2.agg(stats.lambda_gc(F.col("chi2")).alias("lambda_gc")), "axis": G.chromosome_table(scores.sparkSession)}
+    return {"manhattan": points, "qq": meta.qq_points(chi2.select("chi2")), "inflation": variables.lambda_gc(chi2), "axis": G.chromosome_table(scores.sparkSession)}
 
 
 def heritability(reference: DataFrame, pieces: DataFrame, sumstats: DataFrame, steps: list[str], done: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Estimates of all jobs that are not done yet, and their sums and jackknife variances."""
-    rotated = hdl.rotate(hdl.marginal_effects(reference, sumstats), pieces).cache()
+    """Estimates of all jobs that are not done yet, and their sums and jackknife variances.
+
+    A step that follows the pieces begins its searches at the pieces' sums.
+    """
+    rotated = lineage.written(hdl.rotate(hdl.marginal_effects(reference, sumstats), pieces), "rotated")
+    counts = lineage.written(hdl.sample_counts(sumstats), "sample-counts")
     names = sumstats.select("phenotype").distinct()
     out = done
     for step in steps:
-        new = hdl.estimate(rotated, hdl.sample_counts(sumstats), hdl.jobs(names, pieces, step, done))
+        begin = None if out is None or step == "piecewise" else hdl.starts(out)
+        new = lineage.written(hdl.estimate(rotated, counts, hdl.jobs(names, pieces, step, done), begin), f"estimates-{step}")
         out = new if out is None else out.unionByName(new)
     return {"estimates": out, "totals": hdl.totals(out), "errors": hdl.jackknife_error(out)}

@@ -7,9 +7,12 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortspark import lineage
 from cohortspark.functions import genetics as G
 from cohortspark.operators.variables import combine
 
+from . import files, results
+
 
 def read_variables(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Phenotypes or covariates: the first column is the sample, `n/a` is missing; several files are combined, the first value counts."""
@@ -44,7 +47,7 @@ def read_plink(spark: SparkSession, path: str) -> DataFrame:
 
 def read_score_text(spark: SparkSession, path: str, columns: list[str] | None = None) -> tuple[DataFrame, dict]:
     """(table, metadata) of a text array: a `## json` line, a `# ` header line and tab-separated rows; numbers where all are."""
-    lines = spark.read.text(path)
+    lines = files.open_text(spark, files.probe(spark, path))
     meta = lines.where(F.col("value").startswith("##")).head()
     names = lines.where(F.col("value").startswith("# ") | F.col("value").rlike("^#[^#]")).head().value.lstrip("# ").split("\t")
     part = F.split("value", "\t")
@@ -69,6 +72,47 @@ def write_score_text(df: DataFrame, path: str, metadata: dict | None = None, com
     df.select(row.alias("value")).mapInPandas(with_head, "value string").write.option("compression", compression).text(path)
 
 
+#: Ways to write a text array, by name, and Spark's codec for each.
+METHODS = {"text": "none", "gzip_text": "gzip", "bzip2_text": "bzip2", "zstd_text": "zstd", "zstd_high_text": "zstd", "zstd_ultra_text": "zstd", "parquet": "zstd"}
+
+
+def write_score(df: DataFrame, path: str, method: str, metadata: dict | None = None) -> None:
+    """A score array by a named method."""
+    if method not in METHODS:
+        raise ValueError(f"method is one of {', '.join(METHODS)}")
+    if method == "parquet":
+        results.write_table(df, path, metadata)
+    else:
+        write_score_text(df, path, metadata, METHODS[method])
+
+
+def read_score(spark: SparkSession, path: str, columns: list[str] | None = None) -> tuple[DataFrame, dict]:
+    """(table, metadata) of a score array in any form; a path without suffix is looked for with every known one."""
+    found = files.probe(spark, path)
+    if found.endswith(".parquet"):
+        return results.read_table(spark, found, columns)
+    return read_score_text(spark, found, columns)
+
+
+def select_rows(df: DataFrame, index: list[int], *order: str) -> DataFrame:
+    """Rows at the given places in that order, in the order of the places asked for."""
+    wanted = df.sparkSession.createDataFrame([(i, k) for k, i in enumerate(index)], "_at long, _ord long")
+    return lineage.ranked(df, *order, name="_at").join(F.broadcast(wanted), "_at").orderBy("_ord").drop("_at", "_ord")
+
+
+def frequency_columns(spark: SparkSession, paths: dict[int, str]) -> tuple[dict[int, list[str]], list[int]]:
+    """Allele-frequency columns by chromosome, from schemas alone, and the chromosomes (without X) that have no file."""
+    there = {c: p for c, p in paths.items() if files.exists(spark, p)}
+    names = {c: [n for n in spark.read.parquet(p).columns if n.endswith("alternate_allele_frequency") or n.endswith("aaf")] for c, p in there.items()}
+    return names, sorted(set(range(1, 23)) - set(there))
+
+
+def collection_names(summary: DataFrame) -> DataFrame:
+    """phenotype, collection of a summary table, one row a phenotype of the first chunk."""
+    own = summary.where("role = 'phenotypes'")
+    return own.groupBy(F.col("variable").alias("phenotype")).agg(F.min_by("collection", "chunk").alias("collection"))
+
+
 def read_scores(spark: SparkSession, paths: list[str], required: range = range(1, 23)) -> DataFrame:
     """Score tables of all chromosomes as one; all autosomes must be there and all must have the same columns."""
     out = None

@@ -136,21 +136,143 @@ def test_resume(spark):
     assert hdl.jobs(names, pieces, "jackknife", all_.where(F.col("jackknife_index").isNull())).count() == 6
 
 
-def test_kinship_of_all_samples(spark):
-    """The registered matrices hold all samples of the dosages, against numpy."""
-    from cohortspark.plans import catalogue, inputs
+def test_gram_in_tiles(variants, cohort):
+    """Tiles that do not divide the samples, more parts than meet at once, and factors of few rows."""
+    g, c = cohort
+    z = association.standardise(g)
+    many = variants.repartition(40)
+    for k, m in matrices(association.gram(many, tile=7)).items():
+        assert np.allclose(m, z[c == k].T @ z[c == k])
+    for k, r in matrices(association.triangular(many)).items():
+        assert np.allclose(r.T @ r, z[c == k].T @ z[c == k])
 
-    d = "/root/testdata/sf0.001"
-    rows = inputs.dosages(spark, d).collect()
-    own = {}
-    for c in {r.chromosome for r in rows}:
-        z = association.standardise(np.array([r.dosages for r in rows if r.chromosome == c]))
-        own[c] = z.T @ z
-    want = {"kinship_by_chromosome": own, "kinship_loco": {c: sum(x for k, x in own.items() if k not in (c, 23)) for c in own if c != 23}}
-    for name, grams in want.items():
-        got = catalogue.QUERIES[name](spark, d).collect()
-        assert len(got) == sum(len(g) for g in grams.values())
-        assert all(np.allclose(r["values"], grams[r.chromosome][r.i], atol=1e-6) for r in got)
+
+def test_samples_by_place(spark, cohort):
+    g, _ = cohort
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(g)], "id int, dosages array<double>")
+    places = np.array([3, 0, 17])
+    got = association.take_samples(df, places).orderBy("id").collect()
+    assert np.allclose([r.dosages for r in got], g[:, places])
+    got = association.frequencies(df, {"all": np.arange(20), "some": places, "none": np.array([], int)}).orderBy("id").collect()
+    assert np.allclose([r["all"] for r in got], g.mean(1) / 2)
+    assert np.allclose([r["some"] for r in got], g[:, places].mean(1) / 2)
+    assert {r["none"] for r in got} == {0.0}
+
+
+def test_quantiles(spark):
+    """Exact quantiles of groups of all sizes, with one frequent value, NULL keys and NULL values."""
+    rng = np.random.default_rng(8)
+    rows = [("a", float(x)) for x in rng.normal(size=1001)] + [("b", 5.0)] * 700 + [("b", float(x)) for x in range(10)] + [(None, 1.0), (None, 4.0), ("c", 2.0), ("d", None)]
+    df = spark.createDataFrame(rows, "k string, value double")
+    shares = (0.0, 0.1, 0.25, 0.5, 0.9, 1.0)
+    got = {r.k: r for r in variables.quantiles(df, shares, "k").collect()}
+    assert set(got) == {"a", "b", None, "c"}
+    for k, r in got.items():
+        own = [v for key, v in rows if key == k]
+        assert r.n == len(own)
+        assert np.allclose([r[f"q{i}"] for i in range(len(shares))], np.quantile(own, shares))
+    s = {r.k: r for r in variables.summaries(df, "k").collect()}
+    assert (s["d"].n, s["d"].median, s["d"].variance) == (0, None, None)
+    assert (s["c"].n, s["c"].median, s["c"].variance) == (1, 2.0, 0.0)
+    assert np.isclose(s["a"].variance, np.var([v for k, v in rows if k == "a"], ddof=1))
+    assert variables.quantiles(df.where("false"), (0.5,), "k").count() == 0
+
+
+def test_ranks(spark):
+    from cohortspark import lineage
+
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("x"), F.lit(1).alias("one"))
+    got = lineage.ranked(df.repartition(7), F.desc("x")).collect()
+    assert sorted((r["rank"], r.x) for r in got) == [(i, 999 - i) for i in range(1000)]
+    points = meta.qq_points(df.select(F.col("one").cast("double").alias("chi2"))).collect()
+    assert sorted(r["rank"] for r in points) == list(range(1, 1001))
+
+
+def test_curvature_errors():
+    """Standard errors of the explicit likelihood by differences of its value."""
+    rng = np.random.default_rng(10)
+    n = 60
+    lam = rng.uniform(0.1, 3, n)
+    x = np.column_stack([np.ones(n), rng.normal(size=n)])
+    y = x @ [1.0, -0.5] + rng.normal(size=n) * np.sqrt(0.5 * lam + 0.5)
+
+    def value(t):
+        v = t[1] * lam + t[0]
+        return float(np.log(v).sum() + ((y - x @ t[2:]) ** 2 / v).sum())
+
+    at, h = np.array([0.6, 0.4, 1.1, -0.4]), 1e-4
+    step = np.eye(4) * h
+    want = [[(value(at + a + b) - value(at + a - b) - value(at - a + b) + value(at - a - b)) / (4 * h * h) for b in step] for a in step]
+    assert np.allclose(nullmodel.curvature(lam, x, y, at[0], at[1], at[2:]), want, rtol=1e-4, atol=1e-3)
+    fit = nullmodel.fit("ml", lam, x, y)
+    full = nullmodel.curvature(lam, x, y, fit["error_variance"], fit["genetic_variance"], np.array(fit["beta"]))
+    assert np.allclose(fit["se"], np.sqrt(np.diag(np.linalg.inv(full))[2:]))
+
+
+def test_eigen_of_factor():
+    rng = np.random.default_rng(11)
+    z = rng.normal(size=(50, 8))
+    values, vectors = nullmodel.eigen_of_factor(np.linalg.qr(z, mode="r"), 50)
+    want, _ = nullmodel.eigen(z.T @ z / 50)
+    assert np.allclose(values, want)
+    assert np.allclose(vectors * values @ vectors.T, z.T @ z / 50)
+    with pytest.raises(ValueError, match="full rank"):
+        nullmodel.eigen_of_factor(np.linalg.qr(np.hstack([z, z[:, :2]]), mode="r"), 50)
+    wide = nullmodel.scatter(vectors, list("abcdefgh"), list("hxgfedcba"))
+    assert np.allclose(wide[0], vectors[7])
+    assert (wide[1] == 0).all()
+
+
+def test_estimates_in_groups(spark):
+    """The jobs' results do not depend on how phenotypes are dealt out; starts of the pieces' sums are looked up by pair."""
+    rng = np.random.default_rng(12)
+    pieces = spark.createDataFrame([(p, rng.uniform(0.5, 3, 6).tolist(), np.eye(6).tolist()) for p in range(2)], "piece int, lam array<double>, vectors array<array<double>>")
+    effects = spark.createDataFrame([(p, i, f"t{k}", float(rng.normal())) for p in range(2) for i in range(6) for k in range(5)], "piece int, ord int, phenotype string, effect double")
+    counts = spark.createDataFrame([(f"t{k}", 900.0, 1000.0) for k in range(5)], "phenotype string, n_min double, n_median double")
+    rotated = hdl.rotate(effects, pieces)
+    assert rotated.count() == 10
+    todo = hdl.jobs(counts.select("phenotype"), pieces, "piecewise")
+    order = ["phenotype1", "phenotype2", "piecewise_index"]
+    one = hdl.estimate(rotated, counts, todo, group=99).orderBy(*order).collect()
+    two = hdl.estimate(rotated, counts, todo, group=2).orderBy(*order).collect()
+    assert len(one) == 30
+    assert np.allclose([(r.slope, r.intercept) for r in one], [(r.slope, r.intercept) for r in two])
+    begin = hdl.starts(spark.createDataFrame(one, hdl.SCHEMA))
+    assert begin.count() == 15
+    whole = hdl.estimate(rotated, counts, hdl.jobs(counts.select("phenotype"), pieces, "jackknife"), begin, group=2)
+    assert whole.count() == 45
+    assert hdl.own_estimates(whole).count() == 5
+    ranges = hdl.piece_ranges(pieces).orderBy("piece").collect()
+    assert [tuple(r) for r in ranges] == [(0, 0, 6, 0, 6), (1, 6, 12, 6, 12)]
+
+
+def test_membership_needs_full_rank(spark):
+    from cohortspark.operators import stratify
+
+    ref = spark.createDataFrame([("p", 1.0, 2.0), ("p", 2.0, 4.0), ("p", 3.0, 6.0)], "population string, C1 double, C2 double")
+    with pytest.raises(ValueError, match="population p"):
+        stratify.membership(ref.selectExpr("1 as sample", "C1", "C2"), ref, ["C1", "C2"])
+
+
+def test_population_of_all_components(spark):
+    """Membership by many correlated components, against the density in numpy."""
+    from cohortspark.operators import stratify
+
+    rng = np.random.default_rng(13)
+    mix = rng.normal(size=(6, 6))
+    ref = {p: rng.normal(size=(80, 6)) @ mix + k for k, p in enumerate("ab")}
+    names = [f"C{i}" for i in range(6)]
+    schema = ", ".join(f"{n} double" for n in names)
+    reference = spark.createDataFrame([(p, *map(float, x)) for p, m in ref.items() for x in m], f"population string, {schema}")
+    samples = rng.normal(size=(100, 6)) @ mix + 0.5
+    got = stratify.membership(spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(samples)], f"sample int, {schema}"), reference, names, deviations=4.0)
+    want = set()
+    for p, m in ref.items():
+        cov = np.cov(m, rowvar=False)
+        d = samples - m.mean(0)
+        density = -0.5 * ((d @ np.linalg.inv(cov) * d).sum(1) + np.linalg.slogdet(cov)[1] + 6 * np.log(2 * np.pi))
+        want |= {(i, p) for i in np.flatnonzero(density > -8 - 0.5 * np.log(2 * np.pi)).tolist()}
+    assert {(r.sample, r.population) for r in got.collect()} == want
 
 
 def test_models_of_all_rows(spark):
