@@ -28,8 +28,6 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: The seeds of the SQL twin, which counts only places that one of them looked at.
-MASKS = ("1110110111", "1101100011011", "11100010001101")
 #: Masks and the lengths of stretches (SPAN, or all of a shorter item) that need them.
 SEEDS = {"111": range(5, 21), "1011": (5, *range(7, 21)), "1101": (5, 6, 8, 10), "11001": (5, 10), "10011": (5,), "10101": (5,), "100011": (6,)}
 MIN_TOKENS = 5

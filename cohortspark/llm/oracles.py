@@ -46,39 +46,28 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least ON least.doc
 """
 
 
-def _op3_sql(masks: tuple[str, ...], least_tokens: int, span: int, share: float) -> str:
-    """Seeds of all masks as text keys; an item takes part in masks without gaps only if it is just as long."""
+def _op3_sql(least_tokens: int, span: int, share: float) -> str:
+    """Word by word, without seeds: all alignments with enough equal places, and of those the fullest stretch."""
     words = r"regexp_split_to_array(trim(lower(coalesce(text, '')), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[\x20\x09-\x0D]+')"
-    short = ["1" * m for m in range(least_tokens, max(map(len, masks)))]
-
-    def keys(table: str, key: str) -> str:
-        parts = []
-        for k, mask in enumerate([*masks, *short]):
-            looked = " || ' ' || ".join(f"w[pos + {i + 1}]" for i, c in enumerate(mask) if c == "1")
-            own = f"AND len(w) = {len(mask)}" if table == "items" and k >= len(masks) else ""
-            parts.append(f"SELECT {key}, pos, {k} AS mask, {looked} AS seed FROM (SELECT {key}, w, unnest(range(0, len(w) - {len(mask) - 1})) AS pos FROM {table} WHERE len(w) >= {len(mask)} {own})")
-        return " UNION ALL ".join(parts)
-
-    offsets = ", ".join(f"({k}, {i})" for k, mask in enumerate([*masks, *short]) for i, c in enumerate(mask) if c == "1")
+    width = f"least({span}, m)"
     return f"""
 WITH docs AS MATERIALIZED (SELECT doc_id, {words} AS w FROM documents WHERE doc_id IS NOT NULL),
 items AS MATERIALIZED (SELECT * FROM (SELECT item_id, {words} AS w FROM benchmark WHERE item_id IS NOT NULL) WHERE len(w) >= {least_tokens}),
-looked(mask, off) AS (VALUES {offsets}),
-item_keys AS MATERIALIZED ({keys("items", "item_id")}),
-doc_keys AS ({keys("docs", "doc_id")}),
-hits AS (SELECT DISTINCT d.doc_id, i.item_id, d.pos - i.pos AS shift, i.pos AS item_at, d.mask FROM doc_keys d JOIN item_keys i ON d.mask = i.mask AND d.seed = i.seed),
-places AS MATERIALIZED (SELECT DISTINCT doc_id, item_id, shift, item_at + off AS place FROM hits JOIN looked ON looked.mask = hits.mask),
-wide AS (SELECT p.*, least({span}, len(w)) AS width, least(place, len(w) - least({span}, len(w))) AS low FROM places p JOIN items i ON i.item_id = p.item_id),
-best AS (
-  SELECT a.doc_id, a.item_id, a.shift, a.place, any_value(a.width) AS width, count(*) AS matched FROM wide a JOIN places b
-  ON a.doc_id = b.doc_id AND a.item_id = b.item_id AND a.shift = b.shift AND b.place >= a.low AND b.place < a.low + a.width GROUP BY 1, 2, 3, 4
+dw AS (SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS pos FROM docs),
+iw AS (SELECT item_id, len(w) AS m, unnest(w) AS word, unnest(range(0, len(w))) AS place FROM items),
+equal AS (SELECT doc_id, item_id, m, pos - place AS shift, place FROM dw JOIN iw ON dw.word = iw.word),
+aligned AS MATERIALIZED (
+  SELECT doc_id, item_id, shift, any_value(m) AS m, list(place) AS places FROM equal GROUP BY doc_id, item_id, shift HAVING count(*) >= ceil(least({span}, any_value(m)) * {share})
+), best AS (
+  SELECT doc_id, item_id, ceil({width} * {share}) AS enough,
+    list_max(list_transform(places, lambda p: len(list_filter(places, lambda q: q >= least(p, m - {width}) AND q < least(p, m - {width}) + {width})))) AS matched FROM aligned
 )
 SELECT doc_id, count(*) AS n_items, list_sort(list(item_id)) AS item_ids
-FROM (SELECT DISTINCT doc_id, item_id FROM best WHERE matched >= ceil(width * {share})) GROUP BY doc_id
+FROM (SELECT DISTINCT doc_id, item_id FROM best WHERE matched >= enough) GROUP BY doc_id
 """
 
 
 def op3_sql() -> str:
-    from .decontamination import MASKS, MIN_TOKENS, SHARE, SPAN
+    from .decontamination import MIN_TOKENS, SHARE, SPAN
 
-    return _op3_sql(MASKS, MIN_TOKENS, SPAN, SHARE)
+    return _op3_sql(MIN_TOKENS, SPAN, SHARE)
