@@ -8,11 +8,15 @@ below, from 0.8 on, 53 bands of 6: (1 - 0.8**6)**53 = 1e-7.
 
 Documents with equal sets (128-bit digest) are one class from the start. Classes that meet in a bucket are joined
 by an edge to the smallest of the bucket, and the components of these edges are the clusters in which links are
-looked for, so that no bucket is expanded into pairs. A cluster is one unit of work, or, where it is large, all
-pairs of its blocks of bounded size. In a unit, the share of equal registers, corrected for chance collisions,
+looked for, so that no bucket is expanded into pairs. A cluster is one unit of work, or, where it is large, blocks of
+bounded size. In a unit, the share of equal registers, corrected for chance collisions,
 rules pairs out that are several standard errors away; all others are confirmed on the full sets. Pairs that are
-connected already are passed over, and what leaves a unit is a star for each component. Components of the stars are
-the result.
+connected already are passed over, and what leaves a unit is a star for each component.
+
+The blocks of a large cluster are looked through by themselves and against its first block, which connects almost all of a
+group of copies. Only documents that are then outside their cluster's largest component are compared with all its
+blocks: a text is copied once for every block of such documents, and not for every block of the cluster.
+Components of all stars are the result.
 
 Defined results: a null or wordless text has an empty set, is linked with nothing and is kept; equal texts are
 linked; rows that repeat a doc_id count as one document whose texts are all linked; a null doc_id stays by itself
@@ -139,13 +143,18 @@ def signatures(docs: DataFrame, percent: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, SIGNATURES)
 
 
-def forest(ids: np.ndarray, u: np.ndarray, off: np.ndarray, percent: int, other: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Pairs (smallest id, id) of each component of the links; with `other` (block numbers) only links between blocks count."""
+def forest(ids: np.ndarray, u: np.ndarray, off: np.ndarray, percent: int, other: np.ndarray | None = None, known: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Pairs (smallest id, smallest id of a part) of each component of the links.
+
+    With `other` (block numbers) only links between blocks count; parts are what `known` has connected already, else
+    single documents.
+    """
     n, size = len(ids), np.diff(off)
     regs = registers(u, off)
     _, flat = np.unique(u, return_inverse=True)
     seen = np.zeros(int(flat.max(initial=-1)) + 1, bool)
-    root = np.arange(n)
+    part_of = np.arange(n) if known is None else np.unique(known, return_inverse=True)[1]
+    root = part_of.copy()
     for i in range(1, n):
         ok = (root[:i] != root[i]) & (100 * np.minimum(size[:i], size[i]) >= percent * np.maximum(size[:i], size[i])) & (size[:i] > 0)
         if other is not None:
@@ -172,29 +181,63 @@ def forest(ids: np.ndarray, u: np.ndarray, off: np.ndarray, percent: int, other:
                     root[root == old] = new
             cand = cand[root[cand] != root[i]]
         seen[mine] = False
-    least = np.full(n, np.iinfo(np.int64).max)
+    most = np.iinfo(np.int64).max
+    least, own = np.full(n, most), np.full(n, most)
     np.minimum.at(least, root, ids)
-    return [(a, b) for a, b in zip(least[root].tolist(), ids.tolist(), strict=True) if a != b]
+    np.minimum.at(own, part_of, ids)
+    pairs = {(a, b) for a, b in zip(least[root].tolist(), own[part_of].tolist(), strict=True) if a != b}
+    return sorted(pairs)
 
 
 def _verify(percent: int):
     def run(unit: pa.Table) -> pa.Table:
         unit = unit.combine_chunks()
-        cluster, block, ids = (unit.column(c).to_numpy() for c in ("cluster", "block", "doc_id"))
+        cluster, block, part, ids = (unit.column(c).to_numpy() for c in ("cluster", "block", "part", "doc_id"))
         order = np.lexsort((ids, block, cluster))
-        cluster, block, ids = cluster[order], block[order], ids[order]
+        cluster, block, part, ids = cluster[order], block[order], part[order], ids[order]
         texts = common.text_column(unit.select(["text"]).take(pa.array(order)).combine_chunks().to_batches()[0]) if len(order) else None
         links: list[tuple[int, int]] = []
         starts = np.flatnonzero(np.r_[True, cluster[1:] != cluster[:-1]])
         for a, b in zip(starts, np.r_[starts[1:], len(cluster)], strict=True):
             u, off = shingle_sets(texts.slice(a, b - a))
             blocks = block[a:b]
-            links += forest(ids[a:b], u, off, percent, blocks if blocks[0] != blocks[-1] else None)
+            links += forest(ids[a:b], u, off, percent, blocks if blocks[0] != blocks[-1] else None, part[a:b])
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     return run
 
 
+def _links(docs: DataFrame, work: DataFrame, percent: int) -> DataFrame:
+    """a, b: the stars of all units; work has doc_id, cluster, block, part (what is connected already) and unit."""
+    texts = docs.select("doc_id", "text").join(common.shuffled(work.select("doc_id", "cluster", "block", "part", "unit")), "doc_id").where(F.col("text").isNotNull())
+    return common.written(texts.groupBy("unit").applyInArrow(_verify(percent), "a long, b long"), "near-links")
+
+
+def _blocks(docs: F.Column, shingles: F.Column) -> F.Column:
+    return F.greatest(F.ceil(docs / BLOCK_DOCS), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+
+
+def _rest(docs: DataFrame, members: DataFrame, sizes: DataFrame, links: DataFrame, percent: int) -> DataFrame | None:
+    """Stars between what is outside the largest component of a large cluster and all of it; None without such."""
+    large = sizes.where("blocks > 1")
+    if not large.head(1):
+        return None
+    roots = graphs.components(links, "near-parts").select(F.col("node").alias("rep"), "root")
+    inside = members.join(common.shuffled(common.written(large, "near-large")), "cluster").join(common.shuffled(roots), "rep", "left")
+    inside = common.written(inside.select("rep", "n", "cluster", "blocks", F.coalesce("root", "rep").alias("part")), "near-inside")
+    parts = inside.groupBy("cluster", "part").agg(F.count("*").alias("docs"))
+    main = common.written(parts.groupBy("cluster").agg(F.max_by("part", "docs").alias("main")), "near-main")
+    inside = common.written(inside.join(common.shuffled(main), "cluster").withColumn("out", F.col("part") != F.col("main")), "near-inside")
+    out = inside.where("out").groupBy("cluster").agg(_blocks(F.count("*"), F.sum("n")).alias("others"))
+    inside = inside.join(common.shuffled(common.written(out, "near-out")), "cluster")
+    block, other = F.pmod(F.xxhash64("rep"), "blocks").cast("int"), F.pmod(F.xxhash64("rep", F.lit(1)), "others").cast("int")
+    ranges = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    all_ = inside.select("rep", "cluster", "part", block.alias("b"), ranges("others").alias("o"), F.lit(0).alias("block"))
+    outside = inside.where("out").select("rep", "cluster", "part", ranges("blocks").alias("b"), other.alias("o"), F.lit(1).alias("block"))
+    work = all_.unionAll(outside).select(F.col("rep").alias("doc_id"), "cluster", "block", "part", F.xxhash64("cluster", "b", "o").alias("unit"))
+    return _links(docs, work, percent)
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: links are 100 * intersection >= percent * union."""
     if percent < 80:
@@ -210,17 +253,18 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     members = clusters.select(F.col("node").alias("rep"), F.col("root").alias("cluster")).unionAll(clusters.select(F.col("root"), F.col("root")).distinct())
     members = common.written(members.join(reps, "rep"), "near-members")
     # written before the join, so that both its sides are plain shuffles, of which Spark can split a large cluster
-    sizes = common.written(members.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")), "near-sizes")
+    sizes = common.written(members.groupBy("cluster").agg(_blocks(F.count("*"), F.sum("n")).alias("blocks")), "near-sizes")
     total = members.agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
     bins = max(1, -(-total // (BLOCK_SHINGLES // 2)))
-    work = members.join(common.shuffled(sizes), "cluster")
-    block = F.pmod(F.xxhash64("rep"), "blocks").cast("int")
-    work = work.withColumn("block", block).withColumn("other", F.explode(F.when(F.col("blocks") > 1, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.lit(0)))))
+    work = members.join(common.shuffled(sizes), "cluster").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+    # the first block meets all, each other one the first and itself
+    others = F.when(F.col("block") == 0, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.lit(0), F.col("block")))
+    work = work.withColumn("other", F.explode(others))
     unit = F.when(F.col("blocks") > 1, F.xxhash64("cluster", F.least("block", "other"), F.greatest("block", "other"))).otherwise(F.pmod(F.xxhash64("cluster"), F.lit(bins)))
-    # a block's own links are looked for in its unit with itself
-    work = work.select(F.col("rep").alias("doc_id"), "cluster", "block", unit.alias("unit"), F.col("blocks"))
-    texts = docs.select("doc_id", "text").join(common.shuffled(work.select("doc_id", "cluster", "block", "unit")), "doc_id").where(F.col("text").isNotNull())
-    links = common.written(texts.groupBy("unit").applyInArrow(_verify(percent), "a long, b long"), "near-links")
+    links = _links(docs, work.select(F.col("rep").alias("doc_id"), "cluster", "block", F.col("rep").alias("part"), unit.alias("unit")), percent)
+    more = _rest(docs, members, sizes, links, percent)
+    if more is not None:
+        links = links.unionAll(more)
     roots = graphs.components(links, "near-components").select(F.col("node").alias("rep"), "root")
     same = classes.join(common.shuffled(roots), "rep", "left").select("fp1", "fp2", F.coalesce("root", "rep").alias("component"))
     found = sigs.select("doc_id", "n_shingles", "fp1", "fp2").join(common.shuffled(same), ["fp1", "fp2"], "left")
