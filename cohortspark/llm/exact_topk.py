@@ -8,7 +8,7 @@ in a tree: within groups of shards, then over the groups. Products of whole numb
 below 2**53, which is checked for each pair; beyond that they are made with unbounded integers.
 
 Defined results: vectors that are null, or hold null or non-finite components, and rows without an id take no part;
-rows that repeat id and vector count once; vectors are only compared with vectors of their own length; a score
+rows that repeat id and vector count once, an id with several vectors counts for each of them, as a query and as a candidate; vectors are only compared with vectors of their own length; a score
 beyond the range of a long becomes the nearest long; a query that is alone has no rows; further columns are
 ignored; an empty table gives no rows.
 """
