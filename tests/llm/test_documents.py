@@ -168,6 +168,28 @@ def test_near_duplicates_in_blocks(docs, rows, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows, 85)
 
 
+def test_near_duplicates_of_large_clusters(spark, monkeypatch):
+    """Blocks of two: a large group of near copies, a chain and strangers that share passages, against brute force."""
+    monkeypatch.setattr(near_dups, "BLOCK_DOCS", 2)
+    rng = random.Random(14)
+    base = [f"b{k}" for k in range(80)]
+    texts = []
+    for k in range(14):  # one family
+        w = list(base)
+        w[rng.randrange(80)] = f"x{k}"
+        texts.append(" ".join(w))
+    chain = [f"c{k}" for k in range(90)]
+    for k in range(10):  # neighbours are alike, ends are not
+        texts.append(" ".join(chain[2 * k : 2 * k + 70]))
+    for k in range(6):  # half of the family's text
+        texts.append(" ".join([*base[:60], *(f"s{k}x{j}" for j in range(20 - 2 * k))]))
+    rng.shuffle(texts)
+    rows_ = list(enumerate(texts))
+    for percent in (80, 85):
+        got = near_dups.near_duplicates(spark.createDataFrame(rows_, "doc_id long, text string"), percent).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows_, percent)
+
+
 def test_near_duplicates_odd(spark):
     t = " ".join(WORDS[:30])
     got = near_dups.near_duplicates(spark.createDataFrame([(None, t), (4, t), (4, t), (9, t), (2, None)], "doc_id long, text string")).collect()
@@ -223,6 +245,32 @@ def test_decontamination_replaced_words(spark):
     assert {(r.doc_id, r.item_id) for r in decontamination.overlaps(docs, bench).collect()} == want
 
 
+def test_decontamination_odd(spark):
+    """Repeated rows and ids, null ids, very long texts and columns of clashing names."""
+    item = [f"i{k}" for k in range(25)]
+    rows_ = [(1, " ".join(item), 9, "x", 0)] * 3 + [(1, "clean words", 9, "x", 0), (None, " ".join(item), 9, "x", 0), (2, "n " * 150_000 + " ".join(item), 9, "x", 0), (3, None, 9, "x", 0), (4, "", 9, "x", 0)]
+    docs = spark.createDataFrame(rows_, "doc_id long, text string, item_id int, words string, at int")
+    bench = spark.createDataFrame([(7, " ".join(item), 1), (7, " ".join(item), 1), (None, "i0 i1 i2 i3 i4", 1)], "item_id long, text string, doc_id int")
+    got = {r.doc_id: (r.n_items, r.item_ids) for r in decontamination.contaminated(docs, bench).collect()}
+    assert got == {1: (1, [7]), 2: (1, [7])}
+
+
+def test_decontamination_recall(spark):
+    """Every overlap with up to 40 % of replaced words is found, none below the share; random replacements."""
+    rng = random.Random(31)
+    items = [[f"b{n}x{k}" for k in range(20)] for n in range(30)]
+    texts, equal = [], []
+    for item in items:
+        for gone in (0, 2, 4, 6, 8, 9, 12):
+            out = set(rng.sample(range(20), gone))
+            texts.append(" ".join(["lead", *("other" if k in out else w for k, w in enumerate(item)), "tail"]))
+            equal.append(20 - gone)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in enumerate(items)], "item_id long, text string")
+    found = {r.doc_id for r in decontamination.contaminated(docs, bench).collect()}
+    assert found == {i for i, n in enumerate(equal) if n >= 12}
+
+
 def test_decontamination_by_shuffle(spark, monkeypatch):
     monkeypatch.setattr(decontamination, "BROADCAST_ROWS", 0)
     text = " ".join(WORDS[:30])

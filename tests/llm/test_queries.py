@@ -74,3 +74,109 @@ def test_clean_documents_stay(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
     assert near_dups.pipeline_stage(spark, docs, SMALL).count() == 40
     assert decontamination.pipeline_stage(spark, docs, SMALL).count() == 40
+
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, words string, item_ids int"
+
+
+def fixture(spark, path):
+    """Documents with nulls, repeated ids and rows, copies, benchmark passages and insults, with columns of clashing names."""
+    rng = np.random.default_rng(21)
+    vocabulary = ["".join(rng.choice(list("abcdefghklmnoprt"), rng.integers(3, 8))) for _ in range(300)]
+    say = lambda k: " ".join(rng.choice(vocabulary, k))
+    items = [say(30), say(12), None, "", "too short"]
+    texts: list[str | None] = [say(int(rng.integers(20, 120))) for _ in range(60)]
+    insults = ["idiot", "moron", "stupid"]
+    toxic = [f"{say(10)} {rng.choice(insults)} {say(8)} {rng.choice(insults)} {rng.choice(insults)}" for _ in range(40)]
+    copies = [texts[0], texts[0], texts[1] + " " + say(1), texts[2].upper()]
+    leaks = [f"{say(5)} {items[0]} {say(5)}", f"{items[1]} {say(30)}"]
+    texts = [*texts, *toxic, *copies, *leaks, None, "", " \n", "one", say(4000)]
+    rows = [(i, t, "en", "abc"[i % 3] if i % 7 else None, None if t is None else len(t), 0.5, "x", 1) for i, t in enumerate(texts)]
+    rows += [(None, *rows[5][1:]), (None, say(40), "en", "a", 1, 0.5, "x", 1), (3, say(40), "en", "b", 1, 0.5, "x", 1), rows[4], rows[4]]
+    spark.createDataFrame(rows, DOCS).repartition(4).write.parquet(f"{path}/documents.parquet")
+    labels = [(i, 1, int(60 <= i < 100)) for i in range(100)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return rows, items
+
+
+def brute_leak(text, items):
+    words = (text or "").lower().split()
+    for item in items:
+        it = (item or "").lower().split()
+        width = min(20, len(it))
+        if len(it) < 5:
+            continue
+        for shift in range(-len(it), len(words)):
+            equal = [int(0 <= shift + k < len(words) and words[shift + k] == w) for k, w in enumerate(it)]
+            if max(sum(equal[k : k + width]) for k in range(len(it) - width + 1)) >= -(-width * 6 // 10):
+                return True
+    return False
+
+
+def brute_kept(rows):
+    """One row of each group of 5-word shingle similarity of 0.8 or more: by doc_id, nulls last."""
+
+    def shingles(t):
+        w = (t or "").lower().split()
+        return frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
+
+    sets = [shingles(r[1]) for r in rows]
+    root = list(range(len(rows)))
+    for _ in rows:
+        old = list(root)
+        for a in range(len(rows)):
+            for b in range(a):
+                both = len(sets[a] & sets[b])
+                if both and 100 * both >= 80 * len(sets[a] | sets[b]):
+                    root[a] = root[b] = min(root[a], root[b])
+        if old == root:
+            break
+    groups: dict[int, list] = {}
+    for r, g in zip(rows, root, strict=True):
+        groups.setdefault(g, []).append(r)
+    return [sorted(r[0] for r in g if r[0] is not None)[0] if any(r[0] is not None for r in g) else None for g in groups.values()]
+
+
+def test_pipeline_by_brute_force(spark, tmp_path):
+    import corpus_pipeline
+
+    rows, items = fixture(spark, tmp_path)
+    stages = dict(corpus_pipeline.STAGES)
+    d = str(tmp_path)
+    order = lambda v: sorted(v, key=lambda x: (x is None, x))
+    docs = common.table(spark, d, "documents")
+    clean = common.written(stages["toxicity"](spark, docs, d), "t")
+    kept = [tuple(r) for r in clean.collect()]
+    bad = [r for r in rows if any(w in (r[1] or "") for w in ("idiot", "moron", "stupid"))]
+    assert len(kept) == len(rows) - len(bad)
+    assert not any(w in (r[1] or "") for r in kept for w in ("idiot", "moron", "stupid"))
+    alone = common.written(stages["near_dedup"](spark, clean, d), "t")
+    left = [tuple(r) for r in alone.collect()]
+    assert order([r[0] for r in left]) == order(brute_kept(kept))
+    pure = common.written(stages["decontamination"](spark, alone, d), "t")
+    want = [r for r in left if not brute_leak(r[1], items)]
+    assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in pure.collect())
+    assert len(want) == len(left) - 2
+    mixed = common.written(stages["mixing"](spark, pure, d), "t")
+    assert mixed.columns == docs.columns
+    assert sum(len(r.text.split()) for r in mixed.collect()) == sum(r.taken for r in mixing.mix(pure).collect())
+    packed = stages["packing"](spark, mixed, d).collect()
+    encoder = packing.Encoder.get(packing.RANKS)
+    assert sum(r.n_tokens for r in packed) == sum(len(encoder.ids(r.text)) for r in mixed.collect())
+    assert {x for r in packed for x in r.doc_ids} == {r.doc_id for r in mixed.collect()}
+    assert corpus_pipeline.run(spark, d).count() > 0
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    fixture(spark, tmp_path)
+    for name in ("documents", "labels", "benchmark"):
+        for other in ("documents", "labels", "benchmark"):
+            df = spark.read.parquet(f"{tmp_path}/{other}.parquet")
+            (df.where("false") if other == name else df).coalesce(1).write.parquet(f"{tmp_path}/no-{name}/{other}.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/no-documents").count() == 0
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    assert toxicity.pipeline_stage(spark, docs, f"{tmp_path}/no-labels").count() == docs.count()
+    assert decontamination.pipeline_stage(spark, docs, f"{tmp_path}/no-benchmark").count() == docs.count()

@@ -40,3 +40,11 @@ def test_empty(spark):
     assert exact_topk.search(df, df).count() == 0
     one = spark.createDataFrame([(50, [1.0])], "vec_id long, embedding array<float>")
     assert exact_topk.search(one, one).count() == 0
+
+
+def test_clashing_columns(spark):
+    """Further columns stay out of the way; an id with two vectors stands for both."""
+    rows = [(0, [1.0, 0.0], 9, "a", 1.5, 2), (0, [0.0, 1.0], 9, "a", 1.5, 2), (1, [2.0, 0.0], 9, "a", 1.5, 2), (1, [2.0, 0.0], 8, "b", 1.5, 2), (2, [0.0, 3.0], 9, "a", 1.5, 2)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank int, tile string, score double, dim int")
+    got = exact_topk.search(df, df.where("vec_id = 0"), 2).orderBy("rank").collect()
+    assert [(r.query_id, r.rank, r.vec_id, r.score) for r in got] == [(0, 1, 2, 3 * 65536), (0, 2, 1, 2 * 65536)]
