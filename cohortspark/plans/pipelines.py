@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from cohortspark import lineage
 from cohortspark.functions import genetics as G
 from cohortspark.functions import stats
+from cohortspark.functions import tags as T
 from cohortspark.operators import association, hdl, index, meta, nullmodel, stratify, variables
 from cohortspark.sources import tables, vcf
 
@@ -212,14 +213,40 @@ def meta_prepare(names: DataFrame, group_by: list[str], extra: dict[str, str] |
     return {"jobs": jobs, "tags": tag, "report": index.value_report(tag)}
 
 
+#: Descriptive statistics that become tags of a phenotype.
+STATISTICS = ("minimum", "lower_quartile", "median", "upper_quartile", "maximum", "mean", "variance")
+
+
+def study_names(spark: SparkSession, directories: list[str], replace: list[tuple[str, str]] = ()) -> DataFrame:
+    """phenotype, name, vc, path, prefix, sample_count and statistics of all phenotypes of studies, for index.build().
+
+    A directory's name holds the study's tags (its suffix does not count), and the metadata of chromosome 1 below it the
+    phenotypes. `name` is the tags with the phenotype's name behind them; in `phenotype`, substrings are replaced besides.
+    """
+    out = None
+    for d in directories:
+        found = tables.read_summary(spark, d, "chr1.metadata.yaml*").where("role = 'phenotypes'")
+        tags = F.map_filter(T.parse(F.lit(d.rstrip("/").rsplit("/", 1)[-1])), lambda k, v: k != "suffix")
+        prefix = F.array_join(F.transform(F.map_entries(tags), lambda e: F.concat_ws("-", e["key"], e["value"])), "_")
+        name = F.concat_ws("_", prefix, F.col("variable"))
+        phenotype = name
+        for old, new in replace:
+            phenotype = F.replace(phenotype, F.lit(old), F.lit(new))
+        folder = F.regexp_replace("path", "/[^/]*$", "")
+        own = found.select(phenotype.alias("phenotype"), name.alias("name"), F.col("collection").alias("vc"), folder.alias("path"), prefix.alias("prefix"), F.col("sample_count").cast("string").alias("sample_count"), *(F.col(c).cast("string").alias(c) for c in STATISTICS))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 def meta_worker(scores: DataFrame, studies: list[str], legends: DataFrame | None = None, population: str = "all.aaf", fallback: str | None = None) -> dict[str, DataFrame]:
     """Meta-analysis of scores (study, chromosome, position, ref, alt, aaf, r2, u, v, n): result, studies, panel frequencies."""
     kept = meta.study_filter(scores, G.minor_allele_frequency(F.col("aaf")), F.col("r2"), F.col("n"))
-    rows = kept.select("study", "chromosome", "position", "ref", "alt", G.effect(F.col("u"), F.col("v")).alias("effect"), G.standard_error(F.col("v")).alias("std_err"), F.col("aaf").alias("freq"), "n", "r2")
-    per_study = None
-    for c in ("effect", "std_err", "r2"):
-        part = variables.summaries(rows.select("study", F.lit(c).alias("statistic"), F.col(c).alias("value")), "study", "statistic")
-        per_study = part if per_study is None else per_study.unionByName(part)
+    effect, std_err = G.effect(F.col("u"), F.col("v")), G.standard_error(F.col("v"))
+    rows = kept.select("study", "chromosome", "position", "ref", "alt", effect.alias("effect"), std_err.alias("std_err"), F.col("aaf").alias("freq"), "n", "r2", G.chi_squared(F.col("u"), F.col("v")).alias("chi2"))
+    # one row a statistic, so that all are sorted once; n is the number of variants
+    wide = rows.select("study", "effect", "std_err", "r2", stats.p_value("chi2")["log10_p"].alias("log10_p"))
+    per_study = variables.summaries(wide.unpivot("study", ["effect", "std_err", "r2", "log10_p"], "statistic", "value"), "study", "statistic")
+    rows = rows.drop("chi2")
     result = meta.fixed_effect(meta.align_alleles(rows), ["chromosome", "position", "allele1", "allele2"], studies)
     result = meta.quality_filter(result)
     p = result.withColumn("_p", stats.p_value("chi2")).withColumn("het_p_value", stats.chi2_tail("het_chisq", "het_df"))
@@ -229,6 +256,18 @@ def meta_worker(scores: DataFrame, studies: list[str], legends: DataFrame | None
     return {"result": p.orderBy(G.marker_key(F.col("marker_name"))), "studies": per_study}
 
 
+def meta_plots(worker: dict[str, DataFrame], counts: DataFrame) -> dict[str, DataFrame]:
+    """Data of the plots of meta_worker()'s result; counts has study and sample_count: boxes of qualities (studies with fewer
+    samples first), the sample-size check with its line, and own against panel frequencies where there are legends."""
+    studies, result = worker["studies"], worker["result"]
+    points = studies.where("statistic = 'std_err'").join(counts, "study").select("study", F.col("sample_count").alias("n"), F.col("median").alias("se"))
+    out = {"boxes": meta.study_boxes(studies, "r2", counts), "se_n": points, "se_n_line": meta.se_n_fit(points)}
+    if "panel_freq" in result.columns:
+        part = F.split("marker_name", ":")  # the panel names markers by its own alleles
+        out["frequencies"] = meta.frequency_pairs(result.select(F.lit("meta").alias("study"), "freq1", "allele1", "allele2", part[2].alias("a0"), part[3].alias("a1"), "panel_freq"))
+    return out
+
+
 def plot_data(scores: DataFrame, maf: float = 0.005, r2: float = 0.5) -> dict[str, DataFrame]:
     """Manhattan points, quantile-quantile points and inflation of one phenotype's scores."""
     u, v = F.col("u"), F.col("v")

@@ -168,9 +168,15 @@ def read_sumstats(spark: SparkSession, path: str, phenotype: str) -> DataFrame:
     return df.select(F.lit(phenotype).alias("phenotype"), F.col("SNP").alias("snp"), F.col("Z").cast("double").alias("z"), F.col("N").cast("double").alias("n"), F.col("A2").alias("allele")).where("z is not null")
 
 
-def read_summary(spark: SparkSession, path: str) -> DataFrame:
-    """chunk, collection, status, sample_count, role, variable and its statistics from nested YAML."""
-    raw = spark.read.format("binaryFile").load(path).select("path", "content")
+def read_summary(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+    """path, chunk, collection, status, sample_count, role, variable and its statistics from nested YAML.
+
+    With a pattern, of all files below the path whose names fit.
+    """
+    reader = spark.read.format("binaryFile")
+    if pattern is not None:
+        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    raw = reader.load(path).select("path", "content")
     stats = "minimum double, lower_quartile double, median double, upper_quartile double, maximum double, mean double, variance double"
 
     def rows(frames):
@@ -189,7 +195,7 @@ def read_summary(spark: SparkSession, path: str) -> DataFrame:
                         for role in ("phenotypes", "covariates"):
                             for variable, s in (c.get(role) or {}).items():
                                 s = s.get("summary", s) if isinstance(s, dict) else {}
-                                out.append([str(chunk), collection, c.get("status"), c.get("sample_count"), role, variable, *(s.get(n) for n in names)])
-            yield pd.DataFrame(out, columns=["chunk", "collection", "status", "sample_count", "role", "variable", *names])
+                                out.append([name, str(chunk), collection, c.get("status"), c.get("sample_count"), role, variable, *(s.get(n) for n in names)])
+            yield pd.DataFrame(out, columns=["path", "chunk", "collection", "status", "sample_count", "role", "variable", *names])
 
-    return raw.mapInPandas(rows, f"chunk string, collection string, status string, sample_count long, role string, variable string, {stats}")
+    return raw.mapInPandas(rows, f"path string, chunk string, collection string, status string, sample_count long, role string, variable string, {stats}")

@@ -56,7 +56,30 @@ def test_meta(spark):
     assert [r.marker_name for r in got] == [f"{c}:{p}:A:C" for c in (1, 2) for p in (1, 2, 3)]
     assert np.allclose([r.effect for r in got], [(5 + r.position) / 20 for r in got])
     assert [r.rsid for r in got] == [None, "rs2", None, None, None, None]
-    assert out["studies"].count() == 6
+    per = {(r.study, r.statistic): r for r in out["studies"].collect()}
+    assert len(per) == 8
+    assert per["a", "r2"].n == 6
+    assert per["a", "log10_p"].maximum < 0
+    counts = spark.createDataFrame([("a", 100), ("b", 50)], "study string, sample_count long")
+    plots = P.meta_plots(out, counts)
+    assert [r.study for r in plots["boxes"].collect()] == ["b", "a"]
+    assert sorted((r.study, r.n) for r in plots["se_n"].collect()) == [("a", 100), ("b", 50)]
+    assert [(r.panel_freq, round(r.freq, 6)) for r in plots["frequencies"].collect()] == [(0.25, 0.7 if got[0].allele1 == "a" and got[0].freq1 == 0.3 else 0.3)]
+
+
+def test_study_names(spark, tmp_path):
+    from cohortspark.operators import index
+
+    d = tmp_path / "ds-north_wave-2_raw"
+    (d / "deep").mkdir(parents=True)
+    (d / "deep" / "chr1.metadata.yaml").write_text("chunk-0:\n  all:\n    status: score_complete\n    sample_count: 7\n    phenotypes:\n      arm-left_z: {minimum: 0.0, mean: 1.5}\n    covariates:\n      age: {mean: 1.0}\n")
+    (d / "deep" / "chr2.metadata.yaml").write_text("x: {}\n")
+    names = P.study_names(spark, [str(d)], [("left", "any")])
+    (row,) = names.collect()
+    assert (row.phenotype, row.name, row.vc, row.prefix, row.sample_count, row["mean"]) == ("ds-north_wave-2_arm-any_z", "ds-north_wave-2_arm-left_z", "all", "ds-north_wave-2", "7", "1.5")
+    assert row.path.endswith("/deep")
+    tags = {r.key: r.value for r in index.build(names, {"vc": "vc", "sample_count": "sample_count"}).collect()}
+    assert tags == {"ds": "north", "wave": "2", "arm": "left", "suffix": "z", "vc": "all", "sample_count": "7"}
 
 
 def test_jobs(spark):
