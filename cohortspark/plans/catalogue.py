@@ -786,3 +786,6 @@ def hdl_piecewise(spark, d):
 @query()
 def hdl_jackknife(spark, d):
     return _hdl(spark, d, "jackknife")
+
+
+from . import exchange  # noqa: E402, F401  registers its queries
