@@ -17,6 +17,8 @@ from .optim import minimise_box, minimise_interval
 METHODS = ("fastlmm", "pml", "mpl", "reml", "ml")
 SCHEMA = "collection string, phenotype string, method string, log_likelihood double, heritability double, genetic_variance double, error_variance double, beta array<double>, se array<double>, residuals array<double>, variance array<double>"
 PENALTY = 1e4
+#: Phenotypes that are searched at once.
+BATCH = 32
 
 
 def eigen(kinship: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -91,15 +93,62 @@ def fit_fastlmm(lam: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[float, f
     return 10**x_best * scale, scale, float(best)
 
 
-def fit(method: str, lam: np.ndarray, x: np.ndarray, y: np.ndarray, standard_se: bool = False) -> dict:
+def profile(lam: np.ndarray, x: np.ndarray, y: np.ndarray, log_ratio: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(-2 log likelihood without constants, mean squared residual) of columns of y at log10 ratios of the variances, all at once.
+
+    log_ratio is phenotypes by places; sums over samples are matrix products.
+    """
+    n, k = x.shape
+    p, places = log_ratio.shape
+    w = 1 / (lam + 10 ** log_ratio.ravel()[:, None])
+    cross = (w @ (x[:, :, None] * x[:, None, :]).reshape(n, k * k)).reshape(-1, k, k)
+    own = np.repeat(np.arange(p), places)
+    wy = w * y.T[own]
+    right = wy @ x
+    beta = np.linalg.solve(cross, right[:, :, None])[:, :, 0]
+    r = y.T[own] - beta @ x.T
+    deviance = (w * r * r).sum(1)
+    value = n - np.log(w).sum(1) + n * np.log(deviance / n)
+    return value.reshape(p, places), (deviance / n).reshape(p, places)
+
+
+def fit_fastlmm_many(lam: np.ndarray, x: np.ndarray, y: np.ndarray, steps: int = 48) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """fit_fastlmm() of every column of y: all brackets of all columns are searched at once by golden sections."""
+    var = np.maximum(y.var(0), 1e-12)
+    low, high = -4 - np.log10(var), np.maximum(np.log10(var), -3.8 - np.log10(var))
+    count = max(1, int(np.ceil(((high - low) / 0.2).max())))
+    edges = np.minimum(low[:, None] + 0.2 * np.arange(count + 1), high[:, None])
+    a, b = edges[:, :-1].copy(), edges[:, 1:].copy()
+    gold = (5**0.5 - 1) / 2
+    c, d = b - gold * (b - a), a + gold * (b - a)
+    fc, fd = profile(lam, x, y, c)[0], profile(lam, x, y, d)[0]
+    for _ in range(steps):
+        left = fc <= fd
+        a, b = np.where(left, a, c), np.where(left, d, b)
+        new = np.where(left, b - gold * (b - a), a + gold * (b - a))
+        f = profile(lam, x, y, new)[0]
+        c, d, fc, fd = np.where(left, new, d), np.where(left, c, new), np.where(left, f, fd), np.where(left, fc, f)
+    at = np.where(fc <= fd, c, d)
+    value = np.minimum(fc, fd)
+    # the ends of the whole range count too
+    at, value = np.hstack([at, low[:, None], high[:, None]]), np.hstack([value, profile(lam, x, y, np.stack([low, high], 1))[0]])
+    best = value.argmin(1)
+    row = np.arange(y.shape[1])
+    at, value = at[row, best], value[row, best]
+    scale = profile(lam, x, y, at[:, None])[1][:, 0]
+    return 10**at * scale, scale, value
+
+
+def fit(method: str, lam: np.ndarray, x: np.ndarray, y: np.ndarray, standard_se: bool = False, known: tuple[float, float, float] | None = None) -> dict:
     """One null model from the rotated covariates x and phenotype y; without `standard_se` the historical
-    standard errors s**2 * sqrt(diag(inverse)), with it sqrt(s**2 * diag(inverse))."""
+    standard errors s**2 * sqrt(diag(inverse)), with it sqrt(s**2 * diag(inverse)). known is what fit_fastlmm() gives, if
+    that has been found already."""
     if method == "fastlmm":
-        error, genetic, value = fit_fastlmm(lam, x, y)
+        error, genetic, value = known or fit_fastlmm(lam, x, y)
     else:
         var = float(np.var(y))
         f = objective("pml" if method == "ml" else method, lam, x, y)
-        e, g, _ = fit_fastlmm(lam, x, y)
+        e, g, _ = known or fit_fastlmm(lam, x, y)
         starts = np.array([[e, g], *([a * var, b * var] for a in (0.1, 0.5, 1.0) for b in (0.1, 0.5, 1.0))])
         theta, value = minimise_box(f, starts, np.array([1e-4 * min(1.0, var), 0.0]), np.array([2 * var, 2 * var]))
         error, genetic = float(theta[0]), float(theta[1])
@@ -157,15 +206,23 @@ def fit_all(phenotypes: DataFrame, eigens: dict[str, tuple[np.ndarray, np.ndarra
         eigens, covariates = shared.value
         for f in frames:
             rows = []
-            for collection, phenotype, y in zip(f["collection"], f["phenotype"], f["y"], strict=True):
+            for collection, own in f.groupby("collection", sort=False):
                 lam, q = eigens[collection]
                 x = np.array(covariates[collection], float)
                 x[:, 1:] -= x[:, 1:].mean(0)
-                try:
-                    got = fit(method, lam, q.T @ x, q.T @ np.asarray(y, float))
-                except (np.linalg.LinAlgError, ValueError, FloatingPointError):
-                    got = dict.fromkeys(("log_likelihood", "heritability", "genetic_variance", "error_variance", "beta", "se", "residuals", "variance"))
-                rows.append({"collection": collection, "phenotype": phenotype, "method": method} | got)
+                x, y = q.T @ x, q.T @ np.array(own["y"].tolist(), float).T
+                for at in range(0, y.shape[1], BATCH):
+                    part = y[:, at : at + BATCH]
+                    try:
+                        known = list(zip(*(v.tolist() for v in fit_fastlmm_many(lam, x, part)), strict=True))
+                    except (np.linalg.LinAlgError, ValueError, FloatingPointError):
+                        known = [None] * part.shape[1]  # one by one, so that one that fails leaves the others
+                    for j, phenotype in enumerate(own["phenotype"].iloc[at : at + BATCH]):
+                        try:
+                            got = fit(method, lam, x, part[:, j], known=known[j])
+                        except (np.linalg.LinAlgError, ValueError, FloatingPointError):
+                            got = dict.fromkeys(("log_likelihood", "heritability", "genetic_variance", "error_variance", "beta", "se", "residuals", "variance"))
+                        rows.append({"collection": collection, "phenotype": phenotype, "method": method} | got)
             yield pd.DataFrame(rows)
 
     return phenotypes.select("collection", "phenotype", "y").repartition(partitions).mapInPandas(run, SCHEMA)

@@ -77,6 +77,22 @@ def test_null_models_agree_and_recover():
     assert -2 * got["pml"]["log_likelihood"] <= min(grid) + 1e-6
 
 
+def test_many_at_once():
+    """The search over all columns finds what the search over one finds."""
+    rng = np.random.default_rng(15)
+    n = 70
+    lam = np.sort(rng.uniform(0, 4, n))[::-1]
+    x = np.column_stack([np.ones(n), rng.normal(size=n)])
+    scale = np.array([0.05, 1.0, 30.0, 1.0, 2.0])
+    y = (x @ rng.normal(size=(2, 5)) + rng.normal(size=(n, 5)) * np.sqrt(np.array([0.0, 0.3, 0.6, 0.9, 5.0]) * lam[:, None] + 0.4)) * scale
+    error, genetic, value = nullmodel.fit_fastlmm_many(lam, x, y)
+    for j in range(5):
+        e, g, v = nullmodel.fit_fastlmm(lam, x, y[:, j])
+        assert value[j] <= v + 1e-7
+        assert abs(value[j] - v) < 1e-6
+        assert np.allclose([error[j], genetic[j]], [e, g], rtol=1e-3)
+
+
 def test_minimisers():
     at, value = optim.minimise_interval(lambda t: (t - 0.3) ** 2 + 1, -1, 2)
     assert abs(at - 0.3) < 1e-6
