@@ -207,17 +207,18 @@ def _verify(percent: int):
     return run
 
 
-def _links(docs: DataFrame, work: DataFrame, percent: int) -> DataFrame:
-    """a, b: the stars of all units; work has doc_id, cluster, block, part (what is connected already) and unit."""
-    texts = docs.select("doc_id", "text").join(common.shuffled(work.select("doc_id", "cluster", "block", "part", "unit")), "doc_id").where(F.col("text").isNotNull())
-    return common.written(texts.groupBy("unit").applyInArrow(_verify(percent), "a long, b long"), "near-links")
+def _links(texts: DataFrame, percent: int) -> DataFrame:
+    """a, b: the stars of all units of texts (doc_id, text, cluster, block, part, unit); part is what is connected already."""
+    # a number of its own keeps units apart that are small in bytes and long in work
+    units = texts.repartition(common.partitions(texts.sparkSession), "unit")
+    return common.written(units.groupBy("unit").applyInArrow(_verify(percent), "a long, b long"), "near-links")
 
 
 def _blocks(docs: F.Column, shingles: F.Column) -> F.Column:
     return F.greatest(F.ceil(docs / BLOCK_DOCS), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
 
 
-def _rest(docs: DataFrame, members: DataFrame, sizes: DataFrame, links: DataFrame, percent: int) -> DataFrame | None:
+def _rest(texts: DataFrame, members: DataFrame, sizes: DataFrame, links: DataFrame, percent: int) -> DataFrame | None:
     """Stars between what is outside the largest component of a large cluster and all of it; None without such."""
     large = sizes.where("blocks > 1")
     if not large.head(1):
@@ -235,7 +236,7 @@ def _rest(docs: DataFrame, members: DataFrame, sizes: DataFrame, links: DataFram
     all_ = inside.select("rep", "cluster", "part", block.alias("b"), ranges("others").alias("o"), F.lit(0).alias("block"))
     outside = inside.where("out").select("rep", "cluster", "part", ranges("blocks").alias("b"), other.alias("o"), F.lit(1).alias("block"))
     work = all_.unionAll(outside).select(F.col("rep").alias("doc_id"), "cluster", "block", "part", F.xxhash64("cluster", "b", "o").alias("unit"))
-    return _links(docs, work, percent)
+    return _links(texts.where("own").select("doc_id", "text").join(common.shuffled(work), "doc_id"), percent)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -261,8 +262,11 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     others = F.when(F.col("block") == 0, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.lit(0), F.col("block")))
     work = work.withColumn("other", F.explode(others))
     unit = F.when(F.col("blocks") > 1, F.xxhash64("cluster", F.least("block", "other"), F.greatest("block", "other"))).otherwise(F.pmod(F.xxhash64("cluster"), F.lit(bins)))
-    links = _links(docs, work.select(F.col("rep").alias("doc_id"), "cluster", "block", F.col("rep").alias("part"), unit.alias("unit")), percent)
-    more = _rest(docs, members, sizes, links, percent)
+    work = work.select(F.col("rep").alias("doc_id"), "cluster", "block", F.col("rep").alias("part"), unit.alias("unit"), (F.col("block") == F.col("other")).alias("own"))
+    # the texts of clusters, written for both looks at them
+    texts = common.written(docs.select("doc_id", "text").join(common.shuffled(work), "doc_id").where(F.col("text").isNotNull()), "near-texts")
+    links = _links(texts, percent)
+    more = _rest(texts, members, sizes, links, percent)
     if more is not None:
         links = links.unionAll(more)
     roots = graphs.components(links, "near-components").select(F.col("node").alias("rep"), "root")
