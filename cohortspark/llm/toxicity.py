@@ -73,35 +73,46 @@ CHANCE = 20
 _CACHE_LIMIT = 400_000
 
 _WORDS = re.compile(r"[^\W\d_]+(?:[^\w\s]+[^\W\d_]+)*")
-_INSERTED = re.compile(r"[^\W\d_]+(?:[\d_]+[^\W\d_]+)+")
+_INSERTED = re.compile(r"(?<![^\W\d_])[^\W\d_]++(?:[\d_]++[^\W\d_]++)+")
 _MARKS = re.compile(r"[^\w]+")
 _SPACED = re.compile(r"(?<!\w)[^\W\d_](?:[ \t*._-]{1,3}[^\W\d_]){2,}(?!\w)")
 _TRIPLES = [(j, k) for j in range(1, SPAN) for k in range(j + 1, SPAN)]
 
 
-def words(text: str, ends: frozenset[str] = frozenset()) -> Counter[str]:
-    """The words of a text and how often they occur; joined runs of single letters, parts between marks, and
-    neighbours that together begin and end like one of `ends` come besides."""
-    low = text.lower()
-    found = Counter(_WORDS.findall(low))
-    out: Counter[str] = Counter()
-    for w, n in found.items():
+def token_words(token: str) -> tuple[str, ...]:
+    """The words of a run without spaces: across marks, between them, and across digits and underscores."""
+    if token.isalpha():
+        return (token,)
+    out = []
+    for w in _WORDS.findall(token):
         if w.isalpha():
-            out[w] += n
+            out.append(w)
         else:
-            out[_MARKS.sub("", w)] += n
-            for p in _MARKS.split(w):
-                if len(p) > 2:
-                    out[p] += n
-    for m, n in Counter(_INSERTED.findall(low)).items():
-        out[re.sub(r"[\d_]+", "", m)] += n
-    for m in _SPACED.findall(low):
-        out[re.sub(r"[^\w]+", "", m)] += 1
+            out += [_MARKS.sub("", w), *(p for p in _MARKS.split(w) if len(p) > 2)]
+    return (*out, *(re.sub(r"[\d_]+", "", m) for m in _INSERTED.findall(token)))
+
+
+def words(text: str, ends: frozenset[str] = frozenset(), known: dict[str, tuple[str, ...]] | None = None) -> dict[str, int]:
+    """The words of a text and how often they occur; joined runs of single letters, parts between marks, and
+    neighbours that together begin and end like one of `ends` come besides. known remembers the words of tokens."""
+    known = {} if known is None else known
+    low = text.lower()
+    run = low.split()
+    out: dict[str, int] = {}
+    for token, n in Counter(run).items():
+        ws = known.get(token)
+        if ws is None:
+            ws = known[token] = token_words(token)
+        for w in ws:
+            out[w] = out.get(w, 0) + n
+    besides = [re.sub(r"[^\w]+", "", m) for m in _SPACED.findall(low)]
     if ends:
-        run = low.split()
+        first = {e[:2] for e in ends}
         for a, b in zip(run, run[1:], strict=False):
-            if a[:2] + b[-2:] in ends and len(a) + len(b) <= LONGEST and a.isalpha() and b.isalpha():
-                out[a + b] += 1
+            if a[:2] in first and a[:2] + b[-2:] in ends and len(a) + len(b) <= LONGEST and a.isalpha() and b.isalpha():
+                besides.append(a + b)
+    for w in besides:
+        out[w] = out.get(w, 0) + 1
     return out
 
 
@@ -211,7 +222,12 @@ class Values:
     """The highest values of each text's words, a word as often as it occurs; remembers words."""
 
     def __init__(self, machine: Machine) -> None:
-        self.machine, self.known = machine, {}
+        self.machine, self.known, self.tokens = machine, {}, {}
+
+    def bags(self, texts: list[str]) -> list[dict[str, int]]:
+        if len(self.tokens) > _CACHE_LIMIT:
+            self.tokens.clear()
+        return [words(t, self.machine.ends, self.tokens) for t in texts]
 
     def of(self, ws: Iterable[str]) -> dict[str, float]:
         if len(self.known) > _CACHE_LIMIT:
@@ -222,14 +238,14 @@ class Values:
             self.known.update(zip(new, np.minimum(values, HIGHEST).tolist(), strict=True))
         return self.known
 
-    def top(self, bags: list[Counter[str]]) -> tuple[np.ndarray, list[str | None]]:
+    def top(self, bags: list[dict[str, int]]) -> tuple[np.ndarray, list[str | None]]:
         known = self.of(set().union(*bags))
         out, best = np.full((len(bags), TOP), LOWEST), []
         for i, bag in enumerate(bags):
-            first = heapq.nsmallest(TOP, bag, key=lambda w: (-known[w], w))
+            first = heapq.nsmallest(TOP, [w for w in bag if known[w] > LOWEST], key=lambda w: (-known[w], w))
             v = [known[w] for w in first for _ in range(min(bag[w], TOP))][:TOP]
             out[i, : len(v)] = v
-            best.append(first[0] if v and v[0] > LOWEST else None)
+            best.append(first[0] if first else None)
         return out, best
 
 
@@ -244,7 +260,7 @@ class Model:
 
     def scorer(self) -> Callable[[list[str]], np.ndarray]:
         values = Values(self.machine)
-        return lambda texts: self.probability(values.top([words(t, self.machine.ends) for t in texts])[0])
+        return lambda texts: self.probability(values.top(values.bags(texts))[0])
 
 
 def _svm(z: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, float]:
@@ -263,7 +279,7 @@ def _svm(z: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int = 30) -> tu
     return w[:-1], float(w[-1])
 
 
-def _with_stems(bag: Counter[str]) -> Counter[str]:
+def _with_stems(bag: dict[str, int]) -> Counter[str]:
     """The bag with the beginnings of its words and how many distinct words have each."""
     out = Counter(bag)
     for w, n in bag.items():
@@ -426,7 +442,7 @@ def _best_words(texts: DataFrame, machine: Machine, telling: frozenset[str]) ->
         values = Values(machine)
         for b in common.slices(batches):
             label = b.column(b.schema.get_field_index("label"))
-            bags = [words(t, machine.ends) for t in common.text_column(b).to_pylist()]
+            bags = values.bags(common.text_column(b).to_pylist())
             top, best = values.top(bags)
             worn: list[list[float] | None] = []
             for y, bag in zip(label.to_pylist(), bags, strict=True):
