@@ -62,6 +62,44 @@ def test_score_equals_rotation(variants, cohort):
     assert np.allclose([x.v for x in got], var.ravel())
 
 
+def test_scores_come_in_bounded_batches():
+    """Many phenotypes times many variants: no batch of scores grows with either, and none is lost."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(41)
+    g, w, q, v = rng.uniform(0, 2, (700, 6)), rng.normal(size=(6, 1100)), rng.normal(size=(6, 6)), rng.uniform(1, 2, (6, 1100))
+    names = [str(i) for i in range(1100)]
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(700)), association.lists(g)], names=["id", "dosages"])
+    got = list(association.scored(iter([batch]), {"c": (np.arange(6), w, q, 1 / v, names)}, ["id"], "dosages"))
+    assert max(b.num_rows for b in got) <= association.SCORES < 700 * 1100
+    table = pa.Table.from_batches(got).to_pandas()
+    assert len(table) == 700 * 1100
+    centred = g - g.mean(1, keepdims=True)
+    at = table.id.to_numpy(), table.phenotype.astype(int).to_numpy()
+    for column, of in (("u", centred @ w), ("v", (centred @ q) ** 2 @ (1 / v))):
+        m = np.full((700, 1100), np.nan)
+        m[at] = table[column]
+        assert np.allclose(m, of)
+
+
+def test_fitted_scores_of_every_pair(spark):
+    """Every vector as a phenotype of every vector: a row for each, equal to what the fits give one by one."""
+    from cohortspark.plans import catalogue
+
+    small = "/root/testdata/sf0.001"
+    y, lam, q, x = catalogue._cohort(spark, small)
+    got = catalogue.QUERIES["score_test_fitted"](spark, small)
+    assert got.agg(F.count("*"), F.countDistinct("vec_id", "phenotype")).head() == (500 * 500, 500 * 500)
+    some = y.where("phenotype in ('3', '77', '410')").toPandas().set_index("phenotype")["y"]
+    x[:, 1:] -= x[:, 1:].mean(0)
+    for p, own in some.items():
+        fit = nullmodel.fit("fastlmm", lam, q.T @ x, q.T @ np.array(own))
+        for r in got.where((F.col("phenotype") == p) & F.col("vec_id").isin(*map(int, some.index))).collect():
+            z = q.T @ (np.array(some[str(r.vec_id)]) - np.mean(some[str(r.vec_id)]))
+            assert np.isclose(r.u, z @ (np.array(fit["residuals"]) / np.sqrt(fit["variance"])), rtol=1e-4, atol=1e-6)
+            assert np.isclose(r.v, (z**2 / np.array(fit["variance"])).sum(), rtol=1e-4)
+
+
 def test_null_models_agree_and_recover():
     rng = np.random.default_rng(5)
     n = 400
