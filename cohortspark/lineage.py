@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+#: `lists`: for each settled() that this thread is in, the paths of the tables written since.
+_OPEN = threading.local()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or in local mode one of our own, gone at exit."""
     found = spark.conf.get("spark.checkpoint.dir", None)
@@ -28,6 +35,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for paths in getattr(_OPEN, "lists", [])[-1:]:
+        paths.append(path)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_path = path
@@ -37,9 +46,32 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Removes written tables that nothing reads any more: whatever was made from them has been written or collected."""
     for t in tables:
-        spark = t.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(t._written_path)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _remove(t.sparkSession, t._written_path)
+
+
+def _remove(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def settled(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """make()'s rows as a written table; all tables that make() wrote are removed, and the shuffle files of its queries.
+
+    Spark removes shuffle files once the driver collects the garbage that refers to them, which may be long after.
+    """
+    lists = _OPEN.lists = getattr(_OPEN, "lists", [])
+    lists.append(paths := [])
+    try:
+        df = make()
+    finally:
+        lists.pop()
+    spark, out = df.sparkSession, written(df, name)
+    del df
+    for p in paths:
+        _remove(spark, p)
+    gc.collect()
+    spark._jvm.System.gc()
+    return out
 
 
 def partitions(spark: SparkSession) -> int:

@@ -14,9 +14,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortspark.lineage import discard, partitions, ranked, shared_dir, written
+from cohortspark.lineage import discard, partitions, ranked, settled, shared_dir, written
 
-__all__ = ["discard", "partitions", "ranked", "shared_dir", "written"]
+__all__ = ["discard", "partitions", "ranked", "settled", "shared_dir", "written"]
 
 #: Bytes of text for which temporary arrays are made at once.
 SLICE_BYTES = 1 << 19

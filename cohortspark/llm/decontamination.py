@@ -108,5 +108,6 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows without a verified overlap with a benchmark item, with all their columns; each row is judged by itself."""
     docs = common.keyed(docs)
-    gone = contaminated(docs.select(F.col("_row").alias("doc_id"), "text"), common.table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_row"))
-    return docs.join(common.shuffled(common.written(gone, "contaminated")), "_row", "left_anti").drop("_row")
+    judged, benchmark = docs.select(F.col("_row").alias("doc_id"), "text"), common.table(spark, sf_dir, "benchmark")
+    gone = common.settled(lambda: contaminated(judged, benchmark).select(F.col("doc_id").alias("_row")), "contaminated")
+    return docs.join(common.shuffled(gone), "_row", "left_anti").drop("_row")

@@ -25,7 +25,9 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         small = joined.select(F.col("m").alias("a"), "b").unionAll(joined.select(F.least("a", "m"), F.greatest("a", "m")))
         now = written(small.where("a <> b").distinct(), name)
         discard(large, low)
-    return now.select(F.col("b").alias("node"), F.col("a").alias("root"))
+    out = now.select(F.col("b").alias("node"), F.col("a").alias("root"))
+    out._written_path = now._written_path  # for discard()
+    return out
 
 
 def _stars(edges: DataFrame) -> bool:

@@ -214,9 +214,13 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed:
     """
     names, schema = docs.columns, docs.schema
     docs = common.keyed(docs)
-    places, table = placed(docs, weights)
-    taken = taken_blocks(places, table, seed).groupBy("_row").agg(F.struct(F.collect_list(F.struct("skip", "words", "times")).alias("parts"), F.max("size").alias("size")).alias("_mixed"))
-    joined = docs.join(common.shuffled(common.written(taken, "mix-taken")), "_row").select(*names, "_mixed")
+
+    def taken() -> DataFrame:
+        places, table = placed(docs, weights)
+        parts = F.collect_list(F.struct("skip", "words", "times")).alias("parts")
+        return taken_blocks(places, table, seed).groupBy("_row").agg(F.struct(parts, F.max("size").alias("size")).alias("_mixed"))
+
+    joined = docs.join(common.shuffled(common.settled(taken, "mix-taken")), "_row").select(*names, "_mixed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in common.slices(batches):

@@ -223,20 +223,25 @@ def _rest(texts: DataFrame, members: DataFrame, sizes: DataFrame, links: DataFra
     large = sizes.where("blocks > 1")
     if not large.head(1):
         return None
-    roots = graphs.components(links, "near-parts").select(F.col("node").alias("rep"), "root")
-    inside = members.join(common.shuffled(common.written(large, "near-large")), "cluster").join(common.shuffled(roots), "rep", "left")
+    found, large = graphs.components(links, "near-parts"), common.written(large, "near-large")
+    roots = found.select(F.col("node").alias("rep"), "root")
+    inside = members.join(common.shuffled(large), "cluster").join(common.shuffled(roots), "rep", "left")
     inside = common.written(inside.select("rep", "n", "cluster", "blocks", F.coalesce("root", "rep").alias("part")), "near-inside")
+    common.discard(found, large)
     parts = inside.groupBy("cluster", "part").agg(F.count("*").alias("docs"))
     main = common.written(parts.groupBy("cluster").agg(F.max_by("part", "docs").alias("main")), "near-main")
-    inside = common.written(inside.join(common.shuffled(main), "cluster").withColumn("out", F.col("part") != F.col("main")), "near-inside")
-    out = inside.where("out").groupBy("cluster").agg(_blocks(F.count("*"), F.sum("n")).alias("others"))
-    inside = inside.join(common.shuffled(common.written(out, "near-out")), "cluster")
+    told = common.written(inside.join(common.shuffled(main), "cluster").withColumn("out", F.col("part") != F.col("main")), "near-inside")
+    common.discard(inside, main)
+    out = common.written(told.where("out").groupBy("cluster").agg(_blocks(F.count("*"), F.sum("n")).alias("others")), "near-out")
+    inside = told.join(common.shuffled(out), "cluster")
     block, other = F.pmod(F.xxhash64("rep"), "blocks").cast("int"), F.pmod(F.xxhash64("rep", F.lit(1)), "others").cast("int")
     ranges = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     all_ = inside.select("rep", "cluster", "part", block.alias("b"), ranges("others").alias("o"), F.lit(0).alias("block"))
     outside = inside.where("out").select("rep", "cluster", "part", ranges("blocks").alias("b"), other.alias("o"), F.lit(1).alias("block"))
     work = all_.unionAll(outside).select(F.col("rep").alias("doc_id"), "cluster", "block", "part", F.xxhash64("cluster", "b", "o").alias("unit"))
-    return _links(texts.where("own").select("doc_id", "text").join(common.shuffled(work), "doc_id"), percent)
+    more = _links(texts.where("own").select("doc_id", "text").join(common.shuffled(work), "doc_id"), percent)
+    common.discard(told, out)
+    return more
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -251,8 +256,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     hubs = keys.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub < last").select("key", "hub")
     edges = keys.join(common.shuffled(hubs), "key").where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
     clusters = graphs.components(edges, "near-clusters")
+    common.discard(keys)
     members = clusters.select(F.col("node").alias("rep"), F.col("root").alias("cluster")).unionAll(clusters.select(F.col("root"), F.col("root")).distinct())
     members = common.written(members.join(reps, "rep"), "near-members")
+    common.discard(clusters)
     # written before the join, so that both its sides are plain shuffles, of which Spark can split a large cluster
     sizes = common.written(members.groupBy("cluster").agg(_blocks(F.count("*"), F.sum("n")).alias("blocks")), "near-sizes")
     total = members.agg(F.coalesce(F.sum("n"), F.lit(0))).head()[0]
@@ -267,9 +274,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     texts = common.written(docs.select("doc_id", "text").join(common.shuffled(work), "doc_id").where(F.col("text").isNotNull()), "near-texts")
     links = _links(texts, percent)
     more = _rest(texts, members, sizes, links, percent)
-    if more is not None:
-        links = links.unionAll(more)
-    roots = graphs.components(links, "near-components").select(F.col("node").alias("rep"), "root")
+    common.discard(texts, members, sizes)
+    found = graphs.components(links if more is None else links.unionAll(more), "near-components")
+    common.discard(*(t for t in (links, more) if t is not None))
+    roots = found.select(F.col("node").alias("rep"), "root")
     same = classes.join(common.shuffled(roots), "rep", "left").select("fp1", "fp2", F.coalesce("root", "rep").alias("component"))
     found = sigs.select("doc_id", "n_shingles", "fp1", "fp2").join(common.shuffled(same), ["fp1", "fp2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
@@ -284,5 +292,6 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component, the one with the smallest doc_id (null last), with all its columns; each row counts by itself."""
     docs = common.keyed(docs, ordered=True)
-    gone = near_duplicates(docs.select(F.col("_row").alias("doc_id"), "text")).where(~F.col("kept")).select(F.col("doc_id").alias("_row"))
+    judged = docs.select(F.col("_row").alias("doc_id"), "text")
+    gone = common.settled(lambda: near_duplicates(judged).where(~F.col("kept")).select(F.col("doc_id").alias("_row")), "near-gone")
     return docs.join(common.shuffled(gone), "_row", "left_anti").drop("_row")

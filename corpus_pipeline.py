@@ -17,6 +17,7 @@ there is one, follows the mixed text.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,8 +37,11 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on documents; what a stage returns is written and read again as the next one's input."""
+    """All stages on documents; what a stage returns is written and read again as the next one's input, and the tables
+    behind it are removed."""
     docs = common.table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = common.written(stage(spark, docs, sf_dir), f"stage-{name}")
+    for k, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, common.settled(partial(stage, spark, docs, sf_dir), f"stage-{name}")
+        if k:
+            common.discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)

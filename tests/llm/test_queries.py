@@ -1,5 +1,6 @@
 """The registered queries on a small table: SQL twins, held-out accuracy, the pipeline stage by stage."""
 
+import os
 import sys
 from pathlib import Path
 
@@ -10,6 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import oracle  # noqa: E402
 
+from cohortspark import lineage  # noqa: E402
 from cohortspark.llm import common, decontamination, mixing, near_dups, packing, queries, toxicity  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
@@ -180,3 +182,43 @@ def test_pipeline_of_empty_tables(spark, tmp_path):
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     assert toxicity.pipeline_stage(spark, docs, f"{tmp_path}/no-labels").count() == docs.count()
     assert decontamination.pipeline_stage(spark, docs, f"{tmp_path}/no-benchmark").count() == docs.count()
+
+
+def _tables(spark):
+    """Names, without their numbers, of the tables in the shared folder."""
+    folder = lineage.shared_dir(spark).removeprefix("file://")
+    return {(n, n[:-33]) for n in os.listdir(folder)}
+
+
+def test_stages_leave_what_their_results_read(spark):
+    """Tables that a stage wrote on its way are gone once its verdicts are written; the result is still whole."""
+    import corpus_pipeline
+
+    stages, docs = dict(corpus_pipeline.STAGES), common.table(spark, SMALL, "documents")
+    for name, left in (("near_dedup", ["keyed", "near-gone"]), ("decontamination", ["contaminated", "keyed"]), ("mixing", ["keyed", "mix-taken"])):
+        before = _tables(spark)
+        out = stages[name](spark, docs, SMALL)
+        assert sorted(n for _, n in _tables(spark) - before) == left
+        assert out.count() > 0
+    before = _tables(spark)
+    assert corpus_pipeline.run(spark, SMALL).count() > 0
+    assert [n for _, n in _tables(spark) - before] == ["stage-mixing"]
+
+
+def test_settled_removes_only_its_own(spark):
+    """Nested: the inner result lives as long as the outer one is being made; a failure leaves nothing to the next one."""
+    kept = common.written(spark.range(3), "kept")
+
+    def outer():
+        inner = common.settled(lambda: common.written(spark.range(5), "deep").where("id > 0"), "inner")
+        assert inner.count() == 4
+        return inner.unionAll(kept)
+
+    before = _tables(spark)
+    out = common.settled(outer, "outer")
+    assert (out.count(), kept.count()) == (7, 3)
+    assert [n for _, n in _tables(spark) - before] == ["outer"]
+    with pytest.raises(ZeroDivisionError):
+        common.settled(lambda: 1 / 0, "fails")
+    other = common.written(spark.range(2), "other")
+    assert common.settled(lambda: other, "again").count() == other.count() == 2
