@@ -100,6 +100,29 @@ def test_fitted_scores_of_every_pair(spark):
             assert np.isclose(r.v, (z**2 / np.array(fit["variance"])).sum(), rtol=1e-4)
 
 
+def test_fitted_models_are_handed_on_small(spark, monkeypatch):
+    """What every task gets of a fitted model is its weights, not the variances of all elements too; scores are those of
+    the whole matrices."""
+    import pickle
+
+    from pyspark import SparkContext
+
+    from cohortspark.plans import catalogue, inputs
+
+    small, sent, send = "/root/testdata/sf0.001", [], SparkContext.broadcast
+    monkeypatch.setattr(SparkContext, "broadcast", lambda self, value: sent.append(len(pickle.dumps(value))) or send(self, value))
+    got = catalogue.QUERIES["score_test_fitted"](spark, small).toPandas()
+    assert 500 * 64 * 8 < max(sent) < 500 * 80 * 8
+    y, lam, q, x = catalogue._cohort(spark, small)
+    fits = nullmodel.fit_all(y, {"all": (lam, q)}, {"all": x}, partitions=8).toPandas().set_index("phenotype").sort_index()
+    r, v = (np.array(fits[c].tolist()).T for c in ("residuals", "variance"))
+    g = inputs.dosages(spark, small).select("vec_id", "dosages").toPandas().set_index("vec_id").sort_index()
+    g = np.array(g["dosages"].tolist())
+    g -= g.mean(1, keepdims=True)
+    for column, of in (("u", g @ (q @ (r / np.sqrt(v)))), ("v", (g @ q) ** 2 @ (1 / v))):
+        assert np.allclose(got.pivot(index="vec_id", columns="phenotype", values=column).to_numpy(), of, rtol=1e-9, atol=1e-9)
+
+
 def test_null_models_agree_and_recover():
     rng = np.random.default_rng(5)
     n = 400
